@@ -2,39 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quire.plans import document_queries, drift_queries, section_queries, store_queries
+from quire.plans.registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
+PARTS = (document_queries.REGISTRY, section_queries.REGISTRY, store_queries.REGISTRY, drift_queries.REGISTRY)
 
-from quire.operators import drift, nested
 
-
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every nested object with its parent."""
-    rows = nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json", with_fields=False)
-    return rows.filter("child_path <> ''").select("doc_id", "parent_path", "child_path")
-
-
-def p6_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.table_fields(nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json"))
-
-
-def p6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One of the flat tables."""
-    rows = nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json")
-    return nested.table(rows, "texts[]", {"label": "string", "text": "string", "level": "int", "marker": "string", "confidence": "double"})
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "p4_found": drift.layout_changes,
-        "p4_elements": drift.layout_elements,
-        "p4_lifespans": drift.layout_lifespans,
-        "p6_found": p6_found,
-        "p6_fields": p6_fields,
-        "p6_texts": p6_texts,
-    }
+def queries() -> dict[str, Query]:
+    return {name: f for part in PARTS for name, f in part.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in PARTS for name, sql in part.sql.items()}
