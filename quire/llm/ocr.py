@@ -20,6 +20,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +46,13 @@ MEMO = 500_000
 
 WIDTH, DEPTH = 1 << 21, 3
 
-_INVISIBLE = str.maketrans(dict.fromkeys((0x200B, 0xFEFF), ""))
-_LOWER_PUNCT = str.maketrans({**dict.fromkeys('.,;:()[]{}*"!?…“”«»|<>_=+', " "), 0xAD: "", **dict.fromkeys((0x2010, 0x2011), "-"), **dict.fromkeys("‘’´`", "'")})
+#: Zero width space and byte order mark.
+_INVISIBLE = (chr(0x200B), chr(0xFEFF))
+_HYPHENS, _QUOTES, _SOFT = (chr(0x2010), chr(0x2011)), tuple(map(chr, (0x2018, 0x2019, 0xB4, 0x60))), chr(0xAD)
+_WORD = re.compile("[^\\s.,;:()\\[\\]{}*\"!?…“”«»|<>_=+]+")
 _LINES = re.compile(f"\r\n|[{LINE_ENDS}]")
 _MARK = "-" + "".join(map(chr, (0x2010, 0x2011, 0xAC, 0xAD)))
+_CLOSING = ".,;:!?)]}\"”»|"
 _EDGE = ".,;:()[]{}*\"!?…“”«»|<>_=+‘’'" + _MARK
 
 _NUMBER = r"(?:(?=[0-9oOlISsBbZ]*[0-9])[0-9oOlISsBbZ]{1,5}|(?=[ivxlcdm])(?:x{0,3}(?:ix|iv|v?i{0,3}))|(?=[IVXLCDM])(?:X{0,3}(?:IX|IV|V?I{0,3})))"
@@ -58,11 +62,21 @@ _LAST_NO = re.compile(rf"\s+(?:[|·•–—-]\s*)?{_NUMBER}$")
 
 
 def lines_of(text: str) -> list[str]:
-    return _LINES.split(text.translate(_INVISIBLE))
+    if not text.isascii():
+        for c in _INVISIBLE:
+            text = text.replace(c, "")
+    return _LINES.split(text)
 
 
 def words_of(line: str) -> list[str]:
-    return line.lower().translate(_LOWER_PUNCT).split()
+    """Lower-case words without punctuation; hyphens and apostrophes inside a word stay."""
+    if not line.isascii():
+        line = line.replace(_SOFT, "")
+        for c in _HYPHENS:
+            line = line.replace(c, "-")
+        for c in _QUOTES:
+            line = line.replace(c, "'")
+    return _WORD.findall(line.lower())
 
 
 def header_keys(line: str) -> list[str]:
@@ -74,8 +88,11 @@ def header_keys(line: str) -> list[str]:
 
 def looks_like_header(line: str) -> bool:
     """Few words, most of them capitalised or numbers, and no punctuation at the end."""
-    parts = line.split()
-    if not 1 <= len(parts) <= 9 or line.rstrip()[-1] in ".,;:!?":
+    plain = line.strip()
+    if len(plain) > 90 or plain[-1] in ".,;:!?" or plain[0].islower():
+        return False
+    parts = plain.split()
+    if len(parts) > 9:
         return False
     return 2 * sum(p[0].isupper() or p[0].isdigit() or p[0] == "|" for p in parts) > len(parts)
 
@@ -87,8 +104,6 @@ def is_page_number(line: str) -> bool:
 
 def slots(keys: list[str]) -> np.ndarray:
     """Places of the keys in each row of the sketch."""
-    import xxhash
-
     h = np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype=np.uint64)
     a, b = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)
     return np.stack([(a + np.uint64(i) * b) % np.uint64(WIDTH) for i in range(DEPTH)]).astype(np.int64)
@@ -158,9 +173,11 @@ class Model:
     """Language model and channel over the sketch, with memory for words already judged."""
 
     def __init__(self, sketch: dict):
-        self.cells, self.total, self.numbers = sketch["cells"], max(1.0, sketch["total"]), sketch["numbers"]
+        self.rows = [memoryview(row) for row in np.ascontiguousarray(sketch["cells"])]
+        self.total, self.numbers = max(1.0, sketch["total"]), sketch["numbers"]
         self.counts: dict[str, float] = {}
         self.known: set[str] = set()
+        self.common: set[str] = set()
         self.odd: dict[str, list[tuple[str, float]]] = {}
 
     def count(self, key: str) -> float:
@@ -168,8 +185,9 @@ class Model:
         if n is None:
             if len(self.counts) > MEMO:
                 self.counts.clear()
-            at = slots([key])[:, 0]
-            n = self.counts[key] = float(min(self.cells[i, at[i]] for i in range(DEPTH)))
+            h = xxhash.xxh64_intdigest(key)
+            a, b = h & 0xFFFFFFFF, h >> 32
+            n = self.counts[key] = min(row[(a + i * b) % WIDTH] for i, row in enumerate(self.rows))
         return n
 
     def word(self, w: str) -> float:
@@ -211,6 +229,7 @@ class Model:
             return True
         if len(self.known) > MEMO:
             self.known.clear()
+            self.common.clear()
         if len(self.odd) > MEMO:
             self.odd.clear()
         if not w.isdecimal():
@@ -222,6 +241,8 @@ class Model:
                     self.odd[w] = found
                     return True
         self.known.add(w)
+        if not w.isdecimal() and self.count("w" + w) > 2:
+            self.common.add(w)
         return False
 
     def p(self, w: str, own: bool = False) -> float:
@@ -270,24 +291,17 @@ class Model:
         """The likeliest true form of a word by itself."""
         return self.decode([w])[0] if w not in self.known and self.suspicious(w) else w
 
-    def cut(self, tail: str, head: str) -> str | None:
-        """Whether two tokens around a line end are halves of one word: the word, or None.
+    def cut(self, end: str, a: str, b: str) -> str | None:
+        """Whether the words ``a`` and ``b`` around a line end are halves of one word: the word, or None.
 
-        ``tail`` may end with a mark.  A compound that breaks at its own hyphen is no cut.
+        ``end`` is the last character of the line.  A compound that breaks at its own hyphen is no cut.
         """
-        tail, marked = tail.rstrip(), False
-        stem = tail.rstrip(_MARK)
-        if stem != tail:
-            marked, tail = True, stem
-        if not marked and tail[-1:] in ".,;:!?)]}\"”»|":
-            return None
-        a, b = tail.lower().translate(_LOWER_PUNCT).split(), head.lower().translate(_LOWER_PUNCT).split()
-        if not a or not b:
-            return None
-        a, b = a[-1], b[0]
-        if not a[-1].isalnum() or not b[0].isalnum() or (a.isdecimal() or b.isdecimal()):
+        marked = end in _MARK
+        if marked:
+            a = a.rstrip(_MARK)
+        elif end in _CLOSING or (a in self.common and b in self.common):
             return None
-        if not marked and a in self.known and b in self.known and self.count("w" + a) > 2 and self.count("w" + b) > 2:
+        if not a or not b or not a[-1].isalnum() or not b[0].isalnum() or a.isdecimal() or b.isdecimal():
             return None
         joined = a + b
         n = self.word(joined)
@@ -338,25 +352,18 @@ class Reader:
     def damage(self, lines: list[str], body: list[int]) -> tuple[bool, bool]:
         """(a word is cut, a word is misread) in the lines of a passage."""
         model, known, cut, misread = self.model, self.model.known, False, False
-        skip_first = False
-        for i, k in enumerate(body):
-            tokens = words_of(lines[k])
-            if skip_first:
-                tokens = tokens[1:]
-            skip_first = False
-            if i + 1 < len(body):
-                tail, head = lines[k].split(), lines[body[i + 1]].split()
-                if tail and head:
-                    whole = model.cut(tail[-1], head[0])
-                    if whole is not None:
-                        cut = skip_first = True
-                        tokens = tokens[:-1]
-                        if not misread and model.corrected(whole) != whole:
-                            misread = True
-                    elif tail[-1][-1] in _MARK and tokens:
-                        # a compound that breaks at its own hyphen: its parts are judged as one word
-                        skip_first = True
-                        tokens[-1] = tokens[-1].rstrip("-") + "-" + (words_of(head[0]) or [""])[0]
+        words = [words_of(lines[k]) for k in body]
+        for i, tokens in enumerate(words):
+            if i + 1 < len(words) and tokens and words[i + 1]:
+                end = lines[body[i]].rstrip()[-1]
+                whole = model.cut(end, tokens[-1], words[i + 1][0])
+                if whole is not None:
+                    cut = True
+                    del tokens[-1], words[i + 1][0]
+                    misread = misread or model.corrected(whole) != whole
+                elif end in _MARK and tokens[-1][:-1]:
+                    # a compound that breaks at its own hyphen is judged as one word
+                    tokens[-1] = tokens[-1].rstrip("-") + "-" + words[i + 1].pop(0)
             if not misread:
                 odd = [w for w in tokens if w not in known and model.suspicious(w)]
                 if odd:
@@ -506,13 +513,14 @@ def _run_on(model: Model, lines: list[str]) -> str:
     for line in lines:
         parts = line.split()
         if tokens and parts:
-            whole = model.cut(tokens[-1], parts[0])
+            a, b = words_of(tokens[-1]), words_of(parts[0])
+            whole = model.cut(tokens[-1][-1], a[-1], b[0]) if a and b else None
             if whole is not None:
                 tokens[-1] = tokens[-1].rstrip(_MARK) + parts.pop(0)
             elif tokens[-1][-1:] in _MARK and parts[0][:1].isalnum() and tokens[-1][:-1][-1:].isalnum():
                 tokens[-1] += parts.pop(0)
         tokens += parts
-    bare = [t.lower().translate(_LOWER_PUNCT).strip() for t in tokens]
+    bare = [" ".join(words_of(t)) for t in tokens]
     if any(w and " " not in w and w not in model.known and model.suspicious(w) for w in bare):
         judged = [i for i, w in enumerate(bare) if w and " " not in w]
         for i, true in zip(judged, model.decode([bare[i] for i in judged]), strict=True):
