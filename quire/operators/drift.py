@@ -23,9 +23,9 @@ from pyspark.sql.window import Window
 from quire.functions.jsontext import as_text, kind_of, read_json
 from quire.plans.materialize import materialize
 
-#: A renaming needs this share of agreement between values and names.
-RENAMED = 0.5
-VALUE_WEIGHT = 0.75
+#: A renaming needs this agreement: of the values, of their kinds (which few samples show already) and of the names.
+RENAMED = 0.45
+WEIGHTS = (0.5, 0.25, 0.25)
 #: Values of one path that are profiled per document; more of them tell nothing new about the path.
 PROFILED = 32
 
@@ -168,10 +168,22 @@ def renamings(top: DataFrame, cat: DataFrame, releases: DataFrame) -> DataFrame:
     new = top.filter("change = 'added'").select("no", F.col("path").alias("new_path"), parent_of(F.col("path")).alias("place"))
     a = share.select((F.col("no") + 1).alias("no"), F.col("path").alias("old_path"), "kind", "feature", F.col("q").alias("qa"))
     b = share.select("no", F.col("path").alias("new_path"), "kind", "feature", F.col("q").alias("qb"))
-    agree = old.join(new, ["no", "place"]).join(a, ["no", "old_path"]).join(b, ["no", "new_path", "kind", "feature"]).groupBy("no", "old_path", "new_path").agg(F.sum(F.least("qa", "qb")).alias("values"))
+    coarse = F.when(F.col("feature").contains("~"), F.substring_index("feature", "~", 1)).when(F.col("feature").rlike("^[ifnlv]"), F.substring("feature", 1, 1)).otherwise(F.col("feature"))
+    a, b = a.withColumn("coarse", coarse), b.withColumn("coarse", coarse)
+    pairs = old.join(new, ["no", "place"])
+
+    def overlap(by: str) -> DataFrame:
+        left = a.groupBy("no", "old_path", "kind", by).agg(F.sum("qa").alias("qa"))
+        right = b.groupBy("no", "new_path", "kind", by).agg(F.sum("qb").alias("qb"))
+        both = pairs.join(left, ["no", "old_path"]).join(right, ["no", "new_path", "kind", by])
+        return both.groupBy("no", "old_path", "new_path").agg(F.sum(F.least("qa", "qb")).alias(f"by_{by}"))
+
+    # pairs of different types share nothing; numbers and texts that only share their kind stay below the bound
+    agree = overlap("coarse").join(overlap("feature"), ["no", "old_path", "new_path"], "left").fillna(0.0, ["by_feature"])
     x, y = F.regexp_extract("old_path", r"([^.]*)$", 1), F.regexp_extract("new_path", r"([^.]*)$", 1)
     names = F.when(x.contains(y) | y.contains(x), 1.0).otherwise(1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y)))
-    scored = agree.withColumn("score", VALUE_WEIGHT * F.col("values") + (1 - VALUE_WEIGHT) * names).filter((F.col("score") >= RENAMED) & (F.col("values") >= RENAMED))
+    score = WEIGHTS[0] * F.col("by_feature") + WEIGHTS[1] * F.col("by_coarse") + WEIGHTS[2] * names
+    scored = agree.withColumn("score", score).filter(F.col("score") >= RENAMED)
     best = scored.withColumn("i", F.row_number().over(Window.partitionBy("no", "old_path").orderBy(F.desc("score"), "new_path")))
     best = best.withColumn("j", F.row_number().over(Window.partitionBy("no", "new_path").orderBy(F.desc("score"), "old_path")))
     return best.filter("i = 1 AND j = 1").select("no", "old_path", "new_path")
