@@ -207,7 +207,7 @@ def alias_table(log: DataFrame) -> dict[str, str]:
     out = {}
     for old, new in pairs.items():
         hops = {old}
-        while new in pairs and new not in hops:
+        while new in pairs and pairs[new] not in hops:
             hops.add(new)
             new = pairs[new]
         out[old] = new

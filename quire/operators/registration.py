@@ -9,7 +9,10 @@ from quire.errors import RegistrationError
 
 
 def scan_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path, content, checksum_sha256, n_bytes of the files of a folder; a failing file fails the scan."""
+    """path, content, checksum_sha256, n_bytes of the files of a folder.
+
+    Files of zero length hold nothing to register and have no row; a file that can't be read fails the scan.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content", F.sha2("content", 256).alias("checksum_sha256"), F.col("length").alias("n_bytes"))
 

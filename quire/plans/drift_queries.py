@@ -15,7 +15,16 @@ query("p4_elements")(drift.layout_elements)
 query("p4_lifespans")(drift.layout_lifespans)
 
 
-@query("p6_found")
+READ = """once AS (SELECT doc_id, docling_json AS j FROM documents WHERE json_valid(docling_json)),
+    twice AS (SELECT doc_id, CASE WHEN json_type(j) = 'VARCHAR' THEN json_extract_string(j, '$') ELSE j END AS j FROM once),
+    d AS (SELECT doc_id, j::JSON AS j FROM twice WHERE json_valid(j))"""
+
+
+@query(
+    "p6_found",
+    f"""WITH {READ}, t AS (SELECT doc_id, replace(regexp_replace(substr(x.fullkey, 2), '\\[(\\d+)\\]', '/\\1', 'g'), '.', '/') AS child_path FROM d, json_tree(d.j) x WHERE x.type = 'OBJECT' AND regexp_matches(x.fullkey, '\\]$'))
+    SELECT doc_id, regexp_extract(child_path, '^(.*/\\d+)/.+$', 1) AS parent_path, child_path FROM t""",
+)
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nested object with its parent."""
     rows = nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json", with_fields=False)
@@ -29,10 +38,8 @@ def p6_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "p6_texts",
-    """
-    WITH once AS (SELECT doc_id, docling_json AS j FROM documents WHERE json_valid(docling_json)),
-    twice AS (SELECT doc_id, CASE WHEN json_type(j) = 'VARCHAR' THEN json_extract_string(j, '$') ELSE j END AS j FROM once),
-    d AS (SELECT doc_id, j::JSON AS j FROM twice WHERE json_valid(j)),
+    f"""
+    WITH {READ},
     t AS (SELECT doc_id, unnest(json_extract(j, '$.texts[*]')) AS e, generate_subscripts(json_extract(j, '$.texts[*]'), 1) - 1 AS i FROM d)
     SELECT doc_id, '/texts/' || i AS child_path, '' AS parent_path, i::INTEGER AS ordinal, e->>'$.label' AS label, e->>'$.text' AS text,
            try_cast(e->>'$.level' AS INTEGER) AS level, e->>'$.marker' AS marker, try_cast(e->>'$.confidence' AS DOUBLE) AS confidence
