@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import collapse, decontaminate, language, mixing, ocr, packing, splitting
+from quire.plans.registry import SQL_WS
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,5 +51,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _tokens(x: str) -> str:
+    return f"len(regexp_extract_all({x}, '[^{SQL_WS}]+'))"
+
+
+#: Items of both tables, each once.
+ITEMS = "items AS (SELECT DISTINCT 'parent_chunks' AS item_table, id AS item_id, content AS body FROM parent_chunks UNION SELECT DISTINCT 'raw_blocks', id, markdown_content FROM raw_blocks)"
+
+
+def _records(min_alnum: int) -> str:
+    """id and canonical form of every block by regular expressions without look-around: . , / : between digits are set aside first."""
+    kept = {".": "\\x{1}", ",": "\\x{2}", "/": "\\x{3}", ":": "\\x{4}"}
+
+    def leaf(x: str) -> str:
+        for _ in range(2):  # neighbours share a digit
+            for c, code in enumerate(kept, 1):
+                x = f"regexp_replace({x}, '(\\p{{Nd}})[{code}](\\p{{Nd}})', '\\1' || chr({c}) || '\\2', 'g')"
+        return f"lower(regexp_replace({x}, '[{SQL_WS}\\x{{200b}}\\x{{feff}}\\x{{ad}}]|\\p{{P}}', '', 'g'))"
+
+    split = "regexp_split_to_array(text_content, '[;|\\n\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]')"
+    fields = f"list_sort(list_filter(list_transform({split}, lambda x: {leaf('x')}), lambda y: y <> ''))"
+    canon = f"CASE WHEN block_type = 'key_value_item' THEN 'f' || array_to_string({fields}, chr(5)) ELSE 't' || {leaf('text_content')} END"
+    enough = f"AND len(regexp_extract_all(text_content, '[\\p{{L}}\\p{{Nd}}]')) >= {min_alnum}" if min_alnum else ""
+    return f"records AS (SELECT DISTINCT id, text_content, {canon} AS canon FROM raw_blocks WHERE text_content IS NOT NULL {enough})"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_found": f"WITH {ITEMS} SELECT item_table, item_id FROM items WHERE {_tokens('body')} > 2000",
+        "p2_placed": f"SELECT id, sum(n_tokens)::BIGINT AS n_tokens FROM (SELECT DISTINCT id, content, {_tokens('content')} AS n_tokens FROM parent_chunks WHERE content IS NOT NULL) GROUP BY id",
+        "p5_found": f"WITH {_records(50)}, k AS (SELECT DISTINCT id, canon FROM records), c AS (SELECT canon, min(id) AS first_id FROM k GROUP BY canon) SELECT c.first_id, k.id AS copy_id FROM k JOIN c ON k.canon = c.canon WHERE k.id > c.first_id",
+        "p5_passages": f"WITH {_records(0)} SELECT min(id) AS first_id, count(DISTINCT id) AS n_items, arg_min(text_content, (id, text_content)) AS passage FROM records GROUP BY canon",
+    }
