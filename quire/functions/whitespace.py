@@ -23,5 +23,8 @@ TOKEN_RE = re.compile(f"[^{UNICODE_WS}]+")
 
 
 def count_ws_tokens(col: Column) -> Column:
-    """Number of maximal runs of characters that are not Unicode white space; null stays null."""
-    return F.regexp_count(col, F.lit(f"[^{UNICODE_WS}]++"))
+    """Number of maximal runs of characters that are not Unicode white space; null stays null.
+
+    Java's \\S means just that with the flag (?U), and tests a character far faster than a class of ranges.
+    """
+    return F.regexp_count(col, F.lit(r"(?U)\S++"))
