@@ -248,7 +248,10 @@ class Model:
     def p(self, w: str, own: bool = False) -> float:
         """Probability of a word; as read, a word seen once may be that very error."""
         n = self.word(w)
-        return (max(n - ONCE, 0.02) if own else max(n, 0.02)) / self.total
+        if own:
+            # a number with a letter in it is seldom a word of its own
+            n = max(n - 2, 0.002) if any(c.isdigit() for c in w) else max(n - ONCE, 0.02)
+        return max(n, 0.002) / self.total
 
     def pair(self, a: str, b: str) -> float:
         """Corpus count of two neighbouring words; all numbers are alike here."""
@@ -521,7 +524,7 @@ def _run_on(model: Model, lines: list[str]) -> str:
                 tokens[-1] += parts.pop(0)
         tokens += parts
     bare = [" ".join(words_of(t)) for t in tokens]
-    if any(w and " " not in w and w not in model.known and model.suspicious(w) for w in bare):
+    if [w for w in bare if w and " " not in w and w not in model.known and model.suspicious(w)]:
         judged = [i for i, w in enumerate(bare) if w and " " not in w]
         for i, true in zip(judged, model.decode([bare[i] for i in judged]), strict=True):
             if true != bare[i]:

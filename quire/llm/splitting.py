@@ -115,7 +115,8 @@ def split_text(text: str, max_tokens: int, overlap: int) -> list[tuple[int, int,
 def split_oversized(df: DataFrame, keys: list[str], text: str | Column, max_tokens: int = 2000, overlap: int = 0) -> DataFrame:
     """One row per piece of every item longer than ``max_tokens``; shorter items give no row.
 
-    Each piece has at most ``max_tokens`` tokens and repeats the last ``overlap`` tokens of its predecessor.
+    Each piece has at most ``max_tokens`` tokens and repeats the last ``overlap`` tokens of its predecessor
+    (all of a first piece that has fewer).
     Null and empty texts are not oversized.  Rows that repeat an item exactly are split once.  Other columns of
     ``df`` are ignored, whatever their names.  Raises ValueError unless 0 <= overlap < max_tokens.
 
