@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.whitespace import LINE_ENDS, UNICODE_WS, char_class
+from quire.functions.whitespace import LINE_ENDS, char_class
 from quire.plans.materialize import join_checked, materialize
 
 HOT_SHARE = 0.001
@@ -24,7 +24,7 @@ SALTS = 64
 #: Invisible characters that count as nothing: zero width space, byte order mark, soft hyphen.
 INVISIBLE = char_class(((0x200B, 0x200B), (0xFEFF, 0xFEFF), (0xAD, 0xAD)))
 #: Removed from a leaf: white space, invisible characters, and punctuation but for . , / : between two digits.
-DROPPED = rf"[{UNICODE_WS}{INVISIBLE}]|[\p{{P}}&&[^.,/:]]|(?<!\p{{Nd}})[.,/:]|[.,/:](?!\p{{Nd}})"
+DROPPED = rf"(?U)[\s\p{{P}}{INVISIBLE}&&[^.,/:]]++|(?<!\p{{Nd}})[.,/:]|[.,/:](?!\p{{Nd}})"
 FIELD_END = f"[;|{LINE_ENDS}]"
 ALNUM = r"[\p{L}\p{Nd}]"
 SEPARATOR = "\u0000"
@@ -48,12 +48,19 @@ def root_digest(canon: Column) -> Column:
     return F.unhex(F.md5(F.concat(kind, F.when(kind == "f", children).otherwise(F.md5(leaves)))))
 
 
+def has_alnum(text: Column, least: int) -> Column:
+    """Whether a text has at least so many letters and digits; looks no further than it must."""
+    if least > 200:  # the matcher's stack grows with the repetitions
+        return F.regexp_count(text, F.lit(ALNUM)) >= least
+    return (F.length(text) >= least) & text.rlike(rf"\A(?:[^\p{{L}}\p{{Nd}}]*+{ALNUM}){{{least}}}")
+
+
 def records(df: DataFrame, key: str, text: str, unordered: Column, min_alnum: int) -> DataFrame:
     """item_id, body, digest, canon of the rows that count; canon is the whole normalised structure."""
     rows = df.select(F.col(key).alias("item_id"), F.col(text).alias("body"), F.coalesce(unordered, F.lit(False)).alias("fields"))
     rows = rows.filter(F.col("body").isNotNull() & F.col("item_id").isNotNull())
     if min_alnum:
-        rows = rows.filter((F.length("body") >= min_alnum) & (F.regexp_count("body", F.lit(ALNUM)) >= min_alnum))
+        rows = rows.filter(has_alnum(F.col("body"), min_alnum))
     rows = rows.select("item_id", "body", structure(F.col("body"), F.col("fields")).alias("canon"))
     return rows.select("item_id", "body", root_digest(F.col("canon")).alias("digest"), "canon")
 
