@@ -21,16 +21,16 @@ def chapters(sections: DataFrame) -> DataFrame:
     The next chapter is the first one in reading order (pos) of a larger order_index.
     """
     tops = sections.filter("level = 1").select("document_id", F.col("order_index").alias("chapter"), F.col("pos").alias("chapter_pos"), "page_start", "page_end")
-    later = tops.select("document_id", F.col("chapter").alias("other"), F.col("chapter_pos").alias("other_pos"))
-    joined = tops.join(later, ["document_id"], "left").withColumn("other", F.when(F.col("other") > F.col("chapter"), F.col("other")))
-    first = F.min_by("other", F.when(F.col("other").isNotNull(), F.col("other_pos")))
-    return joined.groupBy("document_id", "chapter", "chapter_pos", "page_start", "page_end").agg(first.alias("next_chapter"))
+    larger = Window.partitionBy("document_id").orderBy(F.desc("chapter")).rowsBetween(Window.unboundedPreceding, -1)
+    return tops.withColumn("next_chapter", F.min(F.struct("chapter_pos", "chapter")).over(larger)["chapter"])
 
 
 def chapter_sections(sections: DataFrame, tops: DataFrame) -> DataFrame:
     """Sections with their chapter; those before the first chapter belong to none."""
-    inside = (F.col("order_index") >= F.col("chapter")) & (F.col("next_chapter").isNull() | (F.col("order_index") < F.col("next_chapter")))
-    return sections.join(tops.select("document_id", "chapter", "chapter_pos", "next_chapter"), "document_id").filter(inside).drop("next_chapter")
+    ends = sections.groupBy("document_id").agg(F.max("order_index").alias("last"))
+    until = F.coalesce(F.col("next_chapter") - 1, F.col("last"))
+    places = tops.join(ends, "document_id").select("document_id", "chapter", "chapter_pos", F.explode(F.sequence("chapter", until)).alias("order_index"))
+    return sections.join(places, ["document_id", "order_index"])
 
 
 def chapter_blocks(blocks: DataFrame, tops: DataFrame) -> DataFrame:

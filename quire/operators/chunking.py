@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quire.config import ChunkSettings
 from quire.errors import ChunkingError
@@ -16,14 +17,14 @@ from quire.functions.tokens import TokenCounter, words
 UNIT = "struct<content:string,tokens:int>"
 
 
-def level2_scopes(sections: DataFrame) -> DataFrame:
-    """Level-2 sections with the order_index at which the next section of level 1 or 2 begins."""
-    tops = sections.filter("level <= 2").select("document_id", F.col("order_index").alias("o"), "level")
-    from pyspark.sql.window import Window
+def in_scopes(sections: DataFrame) -> DataFrame:
+    """Sections that are or lie below a level-2 section, with its order_index as ``scope``.
 
-    nxt = F.lead("o").over(Window.partitionBy("document_id").orderBy("o"))
-    scopes = tops.withColumn("until", nxt).filter("level = 2").select("document_id", F.col("o").alias("scope"), "until")
-    return scopes
+    A scope ends where the next section of level 1 or 2 begins, so the last such section decides.
+    """
+    upto = Window.partitionBy("document_id").orderBy("order_index").rowsBetween(Window.unboundedPreceding, 0)
+    top = F.last(F.when(F.col("level") <= 2, F.struct("level", "order_index")), ignorenulls=True).over(upto)
+    return sections.withColumn("top", top).filter("top.level = 2").withColumn("scope", F.col("top.order_index")).drop("top")
 
 
 def units(sections: DataFrame, assigned: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -36,9 +37,7 @@ def units(sections: DataFrame, assigned: DataFrame, blocks: DataFrame) -> DataFr
     placed = assigned.join(ids, ["document_id", "id"])
     kept = F.when(F.col("body").isNotNull() & (F.col("body") != ""), F.struct("page_number", "id", "body"))
     bodies = placed.groupBy("document_id", "order_index").agg(F.array_join(F.transform(F.sort_array(F.collect_list(kept)), lambda x: x["body"]), "\n\n").alias("body"))
-    inside = sections.select("document_id", "order_index", "level", "heading").join(level2_scopes(sections), "document_id")
-    inside = inside.filter((F.col("order_index") >= F.col("scope")) & (F.col("until").isNull() | (F.col("order_index") < F.col("until"))))
-    rows = inside.join(bodies, ["document_id", "order_index"])
+    rows = in_scopes(sections.select("document_id", "order_index", "level", "heading")).join(bodies, ["document_id", "order_index"])
     title = F.concat(F.repeat(F.lit("#"), F.least("level", F.lit(6))), F.lit(" "), F.col("heading"))
     content = F.when(F.col("order_index") == F.col("scope"), F.col("body")).otherwise(F.when(F.col("body") == "", title).otherwise(F.concat(title, F.lit("\n\n"), F.col("body"))))
     return rows.select("document_id", "scope", "order_index", content.alias("content")).filter("content <> ''")
@@ -153,6 +152,5 @@ def guard_overwrite(existing: DataFrame, overwrite: bool) -> None:
 
 def unchunked_blocks(sections: DataFrame, assigned: DataFrame) -> DataFrame:
     """document_id, n_blocks: blocks of sections that no level-2 section reaches, which are never chunked."""
-    inside = sections.join(level2_scopes(sections), "document_id").filter((F.col("order_index") >= F.col("scope")) & (F.col("until").isNull() | (F.col("order_index") < F.col("until"))))
-    reached = inside.select("document_id", "order_index").distinct()
+    reached = in_scopes(sections).select("document_id", "order_index")
     return assigned.join(reached, ["document_id", "order_index"], "left_anti").groupBy("document_id").agg(F.count("*").alias("n_blocks"))

@@ -13,6 +13,7 @@ The catalogue has a row per release, path, type and value feature, so it grows w
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -39,7 +40,7 @@ def feature(value) -> str:
             return f"i{int(value)}"
         return f"{'f' if value != int(value) else 'n'}{math.copysign(round(math.log10(abs(value)) * 2), value):g}"
     if len(value) <= 12 and value.isalpha():
-        return f"v{value}"
+        return f"v{zlib.crc32(value.encode()) % 256}"
     kinds = {"9" if c.isdigit() else "a" if c.isalpha() else c for c in value[:64]}
     return f"{''.join(sorted(kinds)) if len(kinds) <= 4 else '*'}~{len(value).bit_length()}"
 
@@ -127,7 +128,7 @@ def lifespans(cat: DataFrame) -> DataFrame:
     order = Window.partitionBy("path", "kind").orderBy("no")
     islands = present.withColumn("island", F.sum(F.when(F.col("no") - F.lag("no").over(order) == 1, 0).otherwise(1)).over(order))
     span = islands.groupBy("path", "kind", "island").agg(F.min("no").alias("first_no"), F.max("no").alias("last_no"), F.min_by("release", "no").alias("first"), F.max_by("release", "no").alias("last"))
-    return span.crossJoin(F.broadcast(releases.agg(F.max("no").alias("n_releases")))).drop("island")
+    return span.withColumn("n_releases", F.max("last_no").over(Window.partitionBy(F.lit(1)))).drop("island")
 
 
 def changes(cat: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SEPARATOR = " > "
 
@@ -59,6 +60,21 @@ def chunks_with_sections(chunks: DataFrame, sections: DataFrame) -> DataFrame:
     return chunks.join(heads, "section_id")
 
 
+def reading_order(blocks: DataFrame) -> DataFrame:
+    """document_id, id, pos: blocks numbered by page and id within their document.
+
+    Blocks are numbered within their page, and pages by the blocks before them, so a long document is spread over
+    its pages.
+    """
+    page = Window.partitionBy("document_id", "page_number")
+    before = Window.partitionBy("document_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = blocks.groupBy("document_id", "page_number").agg(F.count("*").alias("n"))
+    sizes = sizes.select(F.col("document_id").alias("d"), F.col("page_number").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    rows = blocks.withColumn("within", F.row_number().over(page.orderBy("id")))
+    same = F.col("document_id").eqNullSafe(F.col("d")) & F.col("page_number").eqNullSafe(F.col("p"))
+    return rows.join(sizes, same).select("document_id", "id", (F.col("before") + F.col("within")).cast("int").alias("pos"))
+
+
 def search(chunks: DataFrame, sections: DataFrame, keyword: str, limit: int) -> DataFrame:
     """The first chunks by id that contain the keyword in any case; its wildcards are plain characters."""
     hit = F.lower("content").contains(keyword.lower())

@@ -75,25 +75,32 @@ def coverage(sections: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def section_rollup(sections: DataFrame, chunks: DataFrame, level: int = 2) -> DataFrame:
-    """section_id, heading, order_index, chunk_count, total_tokens, min_tokens, max_tokens, chunk_ids of each section."""
+    """section_id, heading, order_index, chunk_count, total_tokens, min_tokens, max_tokens of each section."""
     sums = chunks.groupBy("section_id").agg(
         F.count("id").alias("chunk_count"), F.sum("token_count").cast("bigint").alias("total_tokens"), F.min("token_count").alias("min_tokens"), F.max("token_count").alias("max_tokens"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("token_count", F.lit(0)).alias("t")))), lambda x: F.format_string("%d(%d)", x["id"], x["t"])), ", ").alias("chunk_ids"),
     )
     heads = sections.filter(F.col("level") == level).select(F.col("id").alias("section_id"), "heading", "order_index")
     return heads.join(sums, "section_id", "left").withColumn("chunk_count", F.coalesce("chunk_count", F.lit(0)))
 
 
+def section_chunks(sections: DataFrame, chunks: DataFrame, level: int = 2) -> DataFrame:
+    """section_id, id, shown: the chunks of each section as rows, 'id(tokens)'; rows, so that no section is too long for a list."""
+    heads = sections.filter(F.col("level") == level).select(F.col("id").alias("section_id"))
+    shown = F.concat(F.col("id").cast("string"), F.lit("("), F.coalesce("token_count", F.lit(0)).cast("string"), F.lit(")"))
+    return chunks.select("section_id", "id", shown.alias("shown")).join(heads, "section_id")
+
+
 def level_counts(sections: DataFrame) -> DataFrame:
     return sections.groupBy("level").agg(F.count("*").alias("n"), F.countDistinct("document_id").alias("n_documents"))
 
 
 def report(sections: DataFrame, chunks: DataFrame) -> DataFrame:
     """The statistics report as rows of measure and value."""
-    stats = token_stats(chunks)
-    cover = coverage(sections, chunks)
-    wide = stats.crossJoin(cover)  # one row each
-    names = ["n", "least", "most", "mean", "total", "median", "over_limit", "total_sections", "with_chunks", "chunks_per_section"]
-    measures = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in names])).alias("m")).select("m.*")
+
+    def rows(one: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in one.columns]
+        return one.select(F.explode(F.array(*pairs)).alias("m")).select("m.*")
+
+    measures = rows(token_stats(chunks)).unionByName(rows(coverage(sections, chunks)))
     sizes = histogram(chunks).filter("bucket IS NOT NULL").select(F.concat(F.lit("bucket "), "bucket").alias("measure"), F.col("n").cast("double").alias("value"))
     return measures.unionByName(sizes)

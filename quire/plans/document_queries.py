@@ -29,9 +29,8 @@ EARLIER = "(SELECT max(doc_id) FROM documents) / 2"
 
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     rows = docs(spark, sf_dir, "doc_id", "id", "checksum_sha256", "source_url", "title")
-    middle = rows.agg((F.max("doc_id") / 2).alias("m"))  # one row
-    cut = rows.crossJoin(F.broadcast(middle))
-    return cut.filter("doc_id > m").drop("m"), cut.filter("doc_id <= m").drop("m")
+    middle = docs(spark, sf_dir, "doc_id").agg(F.max("doc_id") / 2).scalar()
+    return rows.filter(F.col("doc_id") > middle), rows.filter(F.col("doc_id") <= middle)
 
 
 @query("s05_known", f"SELECT doc_id FROM documents WHERE doc_id > {EARLIER} AND checksum_sha256 IN (SELECT checksum_sha256 FROM documents WHERE doc_id <= {EARLIER})")

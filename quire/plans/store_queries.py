@@ -34,9 +34,7 @@ def blocks(spark, sf_dir):
 
 @query("s07_reading_order", f"WITH {B} SELECT document_id, id, row_number() OVER (PARTITION BY document_id ORDER BY page_number NULLS FIRST, id)::INTEGER AS pos FROM b")
 def s07_reading_order(spark, sf_dir):
-    from pyspark.sql.window import Window
-
-    return blocks(spark, sf_dir).select("document_id", "id", F.row_number().over(Window.partitionBy("document_id").orderBy("page_number", "id")).alias("pos"))
+    return relations.reading_order(blocks(spark, sf_dir))
 
 
 @query("s08_headers", f"WITH {B} SELECT id, document_id, page_number, text_content FROM b WHERE block_type = 'section_header'")
@@ -264,13 +262,17 @@ def q01_stats(spark, sf_dir):
 
 @query(
     "q02_list",
-    f"WITH {S}, {C} SELECT s.id AS section_id, any_value(s.heading) AS heading, any_value(s.order_index) AS order_index, count(c.id) AS chunk_count, sum(c.token_count)::BIGINT AS total_tokens, min(c.token_count) AS min_tokens, max(c.token_count) AS max_tokens, "
-    "string_agg(c.id || '(' || coalesce(c.token_count, 0) || ')', ', ' ORDER BY c.id) AS chunk_ids FROM s LEFT JOIN c ON c.section_id = s.id WHERE s.level = 2 GROUP BY s.id",
+    f"WITH {S}, {C} SELECT s.id AS section_id, any_value(s.heading) AS heading, any_value(s.order_index) AS order_index, count(c.id) AS chunk_count, sum(c.token_count)::BIGINT AS total_tokens, min(c.token_count) AS min_tokens, max(c.token_count) AS max_tokens FROM s LEFT JOIN c ON c.section_id = s.id WHERE s.level = 2 GROUP BY s.id",
 )
 def q02_list(spark, sf_dir):
     return statistics.section_rollup(sections(spark, sf_dir), chunks(spark, sf_dir))
 
 
+@query("q02_chunks", f"WITH {S}, {C} SELECT c.section_id, c.id, c.id || '(' || coalesce(c.token_count, 0) || ')' AS shown FROM c JOIN s ON s.id = c.section_id WHERE s.level = 2")
+def q02_chunks(spark, sf_dir):
+    return statistics.section_chunks(sections(spark, sf_dir), chunks(spark, sf_dir))
+
+
 @query("q03_view", f"WITH {S}, {C} SELECT c.id, s.heading_path, c.content, c.token_count FROM c JOIN s ON s.id = c.section_id WHERE c.id = (SELECT max(id) FROM c WHERE section_id IN (SELECT id FROM s))")
 def q03_view(spark, sf_dir):
     """The newest chunk that has a section."""
