@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from quire.functions.whitespace import count_ws_tokens
 from quire.llm.splitting import split_oversized
-from quire.plans.materialize import materialize, spread
+from quire.plans.materialize import materialize, small_enough, spread
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
@@ -105,14 +105,19 @@ def plan_patterns(histogram: dict[int, int], units: int) -> list[tuple[dict[int,
 
 
 def measured_items(df: DataFrame, key: str, text: str, capacity: int) -> DataFrame:
-    """key, piece_no, n_tokens: whole items (piece_no 0), and the pieces of those larger than the capacity."""
-    rows = df.select(F.col(key).alias("item_id"), F.col(text).alias("body"))
-    counted = rows.select("item_id", F.xxhash64("body").alias("h"), count_ws_tokens(F.col("body")).alias("n_tokens"))
-    whole = (
-        counted.filter(F.col("n_tokens") <= capacity).dropDuplicates(["item_id", "h", "n_tokens"]).select("item_id", F.lit(0).alias("piece_no"), "n_tokens")
-    )
-    cut = split_oversized(rows, ["item_id"], "body", capacity, 0).select("item_id", "piece_no", "n_tokens")
-    return whole.unionByName(cut)
+    """item_id, piece_no, n_tokens: whole items (piece_no 0), and the pieces of those larger than the capacity.
+
+    Texts are counted once; the sizes are written before anything is asked of them, and only the texts that turn
+    out too large are read again.
+    """
+    rows = df.select(F.col(key).alias("item_id"), F.col(text).alias("body")).filter(F.col("body").isNotNull())
+    sizes = materialize(rows.select("item_id", F.xxhash64("body").alias("h"), count_ws_tokens(F.col("body")).alias("n_tokens")).distinct())
+    whole = sizes.filter(F.col("n_tokens") <= capacity).select("item_id", F.lit(0).alias("piece_no"), "n_tokens")
+    large = sizes.filter(F.col("n_tokens") > capacity).select(F.col("item_id").alias("k"), "h").distinct()
+    same = (F.xxhash64("body") == F.col("h")) & F.col("item_id").eqNullSafe(F.col("k"))
+    few = F.broadcast(large) if small_enough(large, 64, 16 << 20) else large
+    cut = split_oversized(rows.filter(F.length("body") > 2 * capacity).join(few, same, "left_semi"), ["item_id"], "body", capacity, 0)
+    return whole.unionByName(cut.select("item_id", "piece_no", "n_tokens"))
 
 
 def pack(df: DataFrame, key: str, text: str, capacity: int = 2000, grid: int = 8) -> DataFrame:
