@@ -101,8 +101,8 @@ def measured(docs: DataFrame, key: str, text: str, source: str, targets: DataFra
     return materialize(with_tokens(rows, path).filter("n_tokens > 0")), wanted
 
 
-def select_mix(rows: DataFrame, wanted: list[tuple[str, float, int]], total: float | None = None, seed: int = SEED) -> DataFrame:
-    """doc_id, source, n_tokens, repeats of measured()."""
+def select_mix(rows: DataFrame, wanted: list[tuple[str, float, int]], total: float | str | None = None, seed: int = SEED) -> DataFrame:
+    """doc_id, source, n_tokens, repeats of measured(); a ``total`` of 'available' is the tokens of all listed sources."""
     spark = rows.sparkSession
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
     rows = rows.withColumn("sort_key", -F.log(u) / F.col("w"))
@@ -111,6 +111,8 @@ def select_mix(rows: DataFrame, wanted: list[tuple[str, float, int]], total: flo
     order = Window.partitionBy("source").orderBy("bucket")
     sums = materialize(sums.withColumn("upto", F.sum("n").over(order)))
     available = {r["source"]: r["n"] for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    if total == "available":
+        total = float(sum(available.values()))
     plan = []
     for s, budget in budgets(wanted, available, total).items():
         have = available.get(s, 0)
@@ -139,7 +141,7 @@ def select_mix(rows: DataFrame, wanted: list[tuple[str, float, int]], total: flo
     )
 
 
-def mix(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, total: float | None = None, path: str = TOKENIZER) -> DataFrame:
+def mix(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, total: float | str | None = None, path: str = TOKENIZER) -> DataFrame:
     """doc_id, source, n_tokens, repeats: the selected records and how often each is used.
 
     Records with a null or empty text, or of a source that is not listed, are not selected.  A listed source
@@ -148,7 +150,7 @@ def mix(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, t
     return select_mix(*measured(docs, key, text, source, targets, path), total)
 
 
-def mix_shares(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, total: float | None = None, path: str = TOKENIZER) -> DataFrame:
+def mix_shares(docs: DataFrame, key: str, text: str, source: str, targets: DataFrame, total: float | str | None = None, path: str = TOKENIZER) -> DataFrame:
     """source, target_share, max_repeats, available_tokens, selected_docs, selected_tokens, actual_share, most_repeats."""
     rows, wanted = measured(docs, key, text, source, targets, path)
     have = rows.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
@@ -171,5 +173,10 @@ def document_mix(spark, sf_dir: str) -> DataFrame:
     return mix(*_tables(spark, sf_dir))
 
 
+def document_full_shares(spark, sf_dir: str) -> DataFrame:
+    """The shares of a mix as large as all listed sources together, where small sources are used up."""
+    return mix_shares(*_tables(spark, sf_dir), total="available")
+
+
 def document_mix_shares(spark, sf_dir: str) -> DataFrame:
     return mix_shares(*_tables(spark, sf_dir))

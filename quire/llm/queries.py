@@ -46,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_cleaned": decontaminate.documents_without_leaks,
         "p8_mix": mixing.document_mix,
         "p8_shares": mixing.document_mix_shares,
+        "p8_full_shares": mixing.document_full_shares,
         "p9_found": language.documents_found,
         "p9_segments": language.document_segments,
     }
