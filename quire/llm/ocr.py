@@ -426,8 +426,8 @@ def scan(rows: DataFrame, sketch: dict) -> DataFrame:
     return rows.mapInArrow(run, FOUND)
 
 
-def text_blocks(blocks: DataFrame) -> DataFrame:
-    return blocks.select(F.col("id").cast("long").alias("block_id"), "document_id", "block_type", F.col("text_content").alias("body")).filter(F.length("body") > 0)
+def text_blocks(blocks: DataFrame, *more: str) -> DataFrame:
+    return blocks.select(F.col("id").cast("long").alias("block_id"), "document_id", "block_type", F.col("text_content").alias("body"), *more).filter(F.length("body") > 0)
 
 
 def learn(rows: DataFrame) -> dict:
@@ -472,8 +472,7 @@ def repaired(blocks: DataFrame) -> DataFrame:
     replaced (in the case of the word as read) and lines run together into paragraphs; blank lines part paragraphs.
     A block that occurs in several identical rows gives one.  Order by block_id reads a document.
     """
-    rows = text_blocks(blocks).join(blocks.select(F.col("id").cast("long").alias("block_id"), "page_number").dropDuplicates(["block_id"]), "block_id")
-    rows = rows.dropDuplicates(["block_id", "body"]).filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer"))
+    rows = text_blocks(blocks, "page_number").filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer"))
     sketch = learn(text_blocks(blocks))
     headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), sketch)))
     lines = asked.join(headers, ["document_id", "key"], "left_semi").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
@@ -491,8 +490,8 @@ def repaired(blocks: DataFrame) -> DataFrame:
             part = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(texts, pa.string())], names=["block_id", "document_id", "page_number", "passage"])
 
-    joined = join_checked(rows, lines, ["block_id"], "left", 128)
-    return joined.select("block_id", "document_id", F.col("page_number").cast("int"), "body", "drop").mapInArrow(run, "block_id long, document_id string, page_number int, passage string")
+    joined = join_checked(rows, lines, ["block_id"], "left", 128).select("block_id", "document_id", F.col("page_number").cast("int"), "body", "drop")
+    return joined.mapInArrow(run, "block_id long, document_id string, page_number int, passage string").dropDuplicates(["block_id", "passage"])
 
 
 def repair(model: Model, text: str, drop: set[str]) -> str:
