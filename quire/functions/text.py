@@ -10,10 +10,11 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.whitespace import UNICODE_WS, char_class
+from quire.functions.whitespace import UNICODE_WS, WS_RANGES, char_class
 
 #: What Python's \s and str.strip() mean: Unicode white space and the four separators.
 PY_WS = UNICODE_WS + char_class(((0x1C, 0x1F),))
+PY_WS_CHARS = "".join(chr(c) for a, b in (*WS_RANGES, (0x1C, 0x1F)) for c in range(a, b + 1))
 
 #: Characters that are bullets at the start of a line, in the order in which they are replaced.
 BULLETS = "•◦–—∙●○■□▪▸▹►▻"
@@ -21,12 +22,13 @@ BULLETS = "•◦–—∙●○■□▪▸▹►▻"
 
 def pystrip(c: Column) -> Column:
     """str.strip()."""
-    return F.regexp_replace(c, rf"\A[{PY_WS}]+|[{PY_WS}]+\z", "")
+    return F.btrim(c, F.lit(PY_WS_CHARS))
 
 
 def bullets(c: Column) -> Column:
     """Bullets at line starts become '- ', one character after the other; the indent stays."""
-    return reduce(lambda x, b: F.regexp_replace(x, f"(?md)^([{PY_WS}]*){b}[{PY_WS}]*", "$1- "), BULLETS, c)
+    replaced = reduce(lambda x, b: F.regexp_replace(x, f"(?md)^([{PY_WS}]*){b}[{PY_WS}]*", "$1- "), BULLETS, c)
+    return F.when(c.rlike(f"[{BULLETS}]"), replaced).otherwise(c)
 
 
 def squeeze_lines(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import human_size, output_name, preview
 from quire.operators import mapping, registration, store
+from quire.plans.materialize import spread
 from quire.plans.registry import Registry, sql_strip
 from quire.sources.tables import read_table
 
@@ -18,6 +19,10 @@ def docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select(*columns)
 
 
+def layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(docs(spark, sf_dir, "doc_id", "docling_json"))
+
+
 @query("s04_sha256", "SELECT doc_id, sha256(text) AS text_sha256, strlen(text) AS n_bytes FROM documents")
 def s04_sha256(spark, sf_dir):
     return docs(spark, sf_dir, "doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"), F.octet_length("text").cast("bigint").alias("n_bytes"))
@@ -131,7 +136,7 @@ BAD = f"(NOT {TABLE} AND (coalesce(json_type(e, '$.text') = 'NULL', false) OR ({
 def _element(name: str, sql: str, column):
     @query(name, f"{ELEMENTS} SELECT doc_id, pos, {sql} AS value FROM elements")
     def run(spark, sf_dir):
-        return mapping.elements(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json").select("doc_id", "pos", column(F.col("e")).alias("value"))
+        return mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").select("doc_id", "pos", column(F.col("e")).alias("value"))
 
     return run
 
@@ -147,7 +152,7 @@ _element("m08_type", TYPE, mapping.block_type)
 
 @query("m04_bbox", f"{ELEMENTS} SELECT doc_id, count(*) AS n, count(CASE WHEN json_type(e, '$.bbox') <> 'NULL' THEN 1 END) AS with_bbox FROM elements GROUP BY doc_id")
 def m04_bbox(spark, sf_dir):
-    rows = mapping.elements(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json").select("doc_id", mapping.bbox(F.col("e")).alias("bbox"))
+    rows = mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").select("doc_id", mapping.bbox(F.col("e")).alias("bbox"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count("bbox").alias("with_bbox"))
 
 
@@ -156,7 +161,7 @@ def m04_bbox(spark, sf_dir):
     f"{ELEMENTS} SELECT doc_id, pos, e->>'$.label' AS docling_label, e->>'$.marker' AS marker, e->>'$.style' AS style, json_exists(e, '$.style') AS has_style FROM elements",
 )
 def m09_metadata(spark, sf_dir):
-    rows = mapping.elements(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json").select("doc_id", "pos", mapping.metadata(F.col("e")).alias("m"))
+    rows = mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").select("doc_id", "pos", mapping.metadata(F.col("e")).alias("m"))
     item = lambda k: F.try_element_at("m", F.lit(k)).alias(k)
     return rows.select("doc_id", "pos", item("docling_label"), item("marker"), item("style"), F.map_contains_key("m", "style").alias("has_style"))
 
@@ -168,12 +173,12 @@ def m09_metadata(spark, sf_dir):
     SELECT * EXCLUDE (bad) FROM b WHERE NOT bad AND (text_content IS NOT NULL OR markdown_content IS NOT NULL)""",
 )
 def m10_blocks(spark, sf_dir):
-    return mapping.blocks(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json").drop("bbox", "metadata")
+    return mapping.blocks(layouts(spark, sf_dir), "doc_id", "docling_json").drop("bbox", "metadata")
 
 
 @query("m11_dispatch", f"{ELEMENTS} SELECT doc_id, count(*) AS n_elements, max(pos) AS last_pos FROM elements GROUP BY doc_id")
 def m11_dispatch(spark, sf_dir):
-    return mapping.elements(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json").groupBy("doc_id").agg(F.count("*").alias("n_elements"), F.max("pos").alias("last_pos"))
+    return mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").groupBy("doc_id").agg(F.count("*").alias("n_elements"), F.max("pos").alias("last_pos"))
 
 
 @query(
@@ -181,7 +186,7 @@ def m11_dispatch(spark, sf_dir):
     f"{ELEMENTS} SELECT doc_id, count(*) AS elements, count(*) FILTER (WHERE {BAD}) AS unreadable, count(*) FILTER (WHERE NOT ({BAD}) AND ({TEXT}) IS NULL AND {STRIPPED['markdown']} IS NULL) AS empty FROM elements GROUP BY doc_id",
 )
 def m12_rejected(spark, sf_dir):
-    return mapping.rejected(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json")
+    return mapping.rejected(layouts(spark, sf_dir), "doc_id", "docling_json")
 
 
 @query(
@@ -195,7 +200,7 @@ def h08_page_count(spark, sf_dir):
 
 @query("p05_headers", f"{ELEMENTS} SELECT doc_id, pos, {LEVEL} AS level, e->>'$.text' AS text FROM elements WHERE {TYPE} = 'section_header'")
 def p05_headers(spark, sf_dir):
-    rows = mapping.elements(docs(spark, sf_dir, "doc_id", "docling_json"), "doc_id", "docling_json").filter(mapping.block_type(F.col("e")) == "section_header")
+    rows = mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").filter(mapping.block_type(F.col("e")) == "section_header")
     return rows.select("doc_id", "pos", mapping.heading_level(F.col("e")).alias("level"), F.try_variant_get("e", "$.text", "string").alias("text"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.functions import predicates, text
 from quire.operators import assign as asg
 from quire.operators import chunking, hierarchy
-from quire.plans.materialize import materialize
+from quire.plans.materialize import materialize, spread
 from quire.plans.registry import SQL_PY_WS, Registry, sql_strip, sql_tokens
 from quire.sources.tables import read_table
 
@@ -19,7 +19,7 @@ ONCE = f"once AS (SELECT DISTINCT {', '.join(BLOCK_COLUMNS)} FROM raw_blocks)"
 
 
 def blocks(spark, sf_dir, *columns):
-    return read_table(spark, sf_dir, "raw_blocks").select(*(columns or BLOCK_COLUMNS))
+    return spread(read_table(spark, sf_dir, "raw_blocks").select(*(columns or BLOCK_COLUMNS)))
 
 
 # --- text -------------------------------------------------------------------------------------------------------
