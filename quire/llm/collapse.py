@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.whitespace import LINE_ENDS, char_class
-from quire.plans.materialize import join_checked, materialize
+from quire.plans.materialize import join_checked, materialize, spread
 
 HOT_SHARE = 0.001
 SALTS = 64
@@ -117,7 +117,7 @@ def copies(df: DataFrame, key: str, text: str, unordered: Column, min_alnum: int
 def _blocks(spark, sf_dir: str) -> tuple[DataFrame, str, str, Column]:
     from quire.sources.tables import read_table
 
-    blocks = read_table(spark, sf_dir, "raw_blocks").select("id", "text_content", "block_type")
+    blocks = spread(read_table(spark, sf_dir, "raw_blocks").select("id", "text_content", "block_type"))
     return blocks, "id", "text_content", F.col("block_type") == "key_value_item"
 
 

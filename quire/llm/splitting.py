@@ -44,6 +44,9 @@ def boundary_kinds(text: str, starts: list[int], ends: list[int]) -> np.ndarray:
     kinds = np.empty(max(0, len(starts) - 1), dtype=np.int8)
     for k in range(1, len(starts)):
         gap = text[ends[k - 1] : starts[k]]
+        if gap == " " and text[ends[k - 1] - 1].isalnum():
+            kinds[k - 1] = 4
+            continue
         breaks = 0 if gap == " " else len(_LINE_END.findall(gap))
         if breaks:
             kinds[k - 1] = 0 if breaks > 1 else 1
@@ -72,15 +75,15 @@ def plan_cuts(kinds: np.ndarray, n_tokens: int, max_tokens: int, overlap: int) -
     cost[0] = 0.0
     lowest = np.searchsorted(at, at - room, side="left")
     for j in range(1, len(at)):
-        i = np.arange(max(1, lowest[j]), j)
+        first = max(1, int(lowest[j]))
         best, source = np.inf, 0
         if at[j] <= max_tokens:
             best = IMBALANCE_WEIGHT * ((at[j] - share) / share) ** 2
-        if len(i):
-            total = cost[i] + IMBALANCE_WEIGHT * ((at[j] - at[i] - share) / share) ** 2
-            k = int(np.argmin(total))
+        if first < j:
+            total = cost[first:j] + IMBALANCE_WEIGHT * ((at[j] - at[first:j] - share) / share) ** 2
+            k = int(total.argmin())
             if total[k] < best:
-                best, source = float(total[k]), int(i[k])
+                best, source = float(total[k]), first + k
         cost[j], back[j] = best + penalty[j], source
     cuts, j = [], int(back[-1])
     while j > 0:
@@ -131,7 +134,10 @@ def split_oversized(df: DataFrame, keys: list[str], text: str | Column, max_toke
         .filter((F.length("body") > 2 * max_tokens) & (count_ws_tokens(F.col("body")) > max_tokens))
         .dropDuplicates()
     )
-    return _split_rows(large, keys, max_tokens, overlap)
+    # few rows that cost much each: as many tasks as the session has, not as few as their bytes would fill
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return _split_rows(large.repartition(tasks), keys, max_tokens, overlap)
 
 
 def _split_rows(large: DataFrame, keys: list[str], max_tokens: int, overlap: int) -> DataFrame:
@@ -163,4 +169,4 @@ def oversized_items(spark, sf_dir: str) -> DataFrame:
 
     a = read_table(spark, sf_dir, "parent_chunks").select(F.lit("parent_chunks").alias("item_table"), F.col("id").alias("item_id"), F.col("content").alias("body"))
     b = read_table(spark, sf_dir, "raw_blocks").select(F.lit("raw_blocks").alias("item_table"), F.col("id").alias("item_id"), F.col("markdown_content").alias("body"))
-    return spread(a).unionByName(b)
+    return spread(a).unionByName(spread(b))
