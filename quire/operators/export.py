@@ -50,3 +50,9 @@ def manifest(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def write_parser_outputs(docs: DataFrame, name: str, markdown: str, document: str, path: str) -> None:
+    """The Markdown and the JSON of every document, one text row each, in folders by document name."""
+    docs.select(F.col(name).alias("name"), F.col(markdown).alias("value")).filter("value IS NOT NULL").write.mode("overwrite").partitionBy("name").text(f"{path}/markdown")
+    docs.select(F.col(name).alias("name"), F.col(document).alias("value")).filter("value IS NOT NULL").write.mode("overwrite").partitionBy("name").text(f"{path}/json")

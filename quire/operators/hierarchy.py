@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.errors import SegmentationError
 from quire.functions.predicates import is_front_matter, is_subsection, numbering_level
 from quire.functions.text import pystrip
 
@@ -103,6 +104,19 @@ def issues(sections: DataFrame, widest: int = 200) -> DataFrame:
     )
 
 
+def without_chapter(sections: DataFrame) -> DataFrame:
+    """document_id of the documents that have sections, but none of level 1."""
+    return sections.groupBy("document_id").agg(F.count_if(F.col("level") == 1).alias("n")).filter("n = 0").select("document_id")
+
+
+def require_chapters(sections: DataFrame) -> DataFrame:
+    """The sections; raises SegmentationError if a document has none of level 1."""
+    bad = without_chapter(sections).limit(3).collect()
+    if bad:
+        raise SegmentationError(f"no chapter in {', '.join(str(r[0]) for r in bad)}")
+    return sections
+
+
 def summary(sections: DataFrame) -> DataFrame:
     """Sections per level and the span of their known pages."""
     known = F.when(F.col("page_start") > 0, F.col("page_start"))

@@ -111,6 +111,37 @@ def set_sections(blocks: DataFrame, assigned: DataFrame) -> DataFrame:
     return blocks.drop("section_id").join(assigned.select("document_id", "id", "section_id"), ["document_id", "id"], "left").select(*blocks.columns)
 
 
+def clear_sections(tables: dict[str, DataFrame], documents: DataFrame) -> dict[str, DataFrame]:
+    """Before sections of ``documents`` (id) are rebuilt: theirs and their chunks go, their blocks lose the section."""
+    old = tables["sections"].join(documents.select(F.col("id").alias("document_id")).distinct(), "document_id", "left_semi").select("id")
+    return delete_sections(tables, old)
+
+
+def update_json(docs: DataFrame, updates: DataFrame) -> DataFrame:
+    """Documents with the docling_json of ``updates`` (id, docling_json), the others as they are.
+
+    Raises SchemaError if an id is unknown.  An id with several updates takes the largest text.
+    """
+    new = updates.groupBy("id").agg(F.max(F.struct("docling_json")).alias("new"))
+    if new.join(docs.select("id"), "id", "left_anti").limit(1).count():
+        raise SchemaError("an update names a document that is not there")
+    both = docs.join(new, "id", "left")
+    return both.withColumn("docling_json", F.when(F.col("new").isNotNull(), F.col("new.docling_json")).otherwise(F.col("docling_json"))).select(*docs.columns)
+
+
+def list_stores(spark: SparkSession, folder: str) -> DataFrame:
+    """store, n_bytes, n_documents of the stores (folders named *_rag.db) of a folder."""
+    import os
+
+    names = sorted(n for n in os.listdir(folder) if n.endswith("_rag.db"))
+    rows = []
+    for n in names:
+        path = os.path.join(folder, n)
+        size = sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files)
+        rows.append((n, size, spark.read.parquet(f"{path}/documents.parquet").count()))
+    return spark.createDataFrame(rows, "store string, n_bytes long, n_documents long")
+
+
 def append_new(spark: SparkSession, rows: DataFrame, folder: str, table: str, key: str) -> int:
     """Appends the rows whose key the stored table lacks; returns how many.  A second call writes nothing."""
     path = f"{folder}/{table}.parquet"

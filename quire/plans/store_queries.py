@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import export, qa, registration, relations, retrieval, statistics, store, tables
+from quire.operators import export, hierarchy, qa, registration, relations, retrieval, statistics, store, tables
 from quire.plans.registry import Registry, sql_strip
 from quire.sources.tables import read_table
 
@@ -29,6 +29,11 @@ def blocks(spark, sf_dir):
     return read_table(spark, sf_dir, "raw_blocks").select("id", "document_id", "section_id", "block_type", "text_content", "markdown_content", "page_number").dropDuplicates(["id"])
 
 
+@query("h17_no_chapter", f"WITH {S} SELECT document_id FROM s GROUP BY document_id HAVING count(*) FILTER (WHERE level = 1) = 0")
+def h17_no_chapter(spark, sf_dir):
+    return hierarchy.without_chapter(sections(spark, sf_dir))
+
+
 # --- scans and writes -------------------------------------------------------------------------------------------
 
 
@@ -59,6 +64,27 @@ def s15_metadata(spark, sf_dir):
     return rows.select("id", F.to_json(F.struct("heading_path", F.col("section_order").alias("order_index"))).alias("metadata"))
 
 
+@query("s16_update_json", "SELECT id, left(CASE WHEN source = 'leaflet' THEN '{}' ELSE docling_json END, 30) AS head FROM documents")
+def s16_update_json(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("id", "source", "docling_json")
+    updates = docs.filter("source = 'leaflet'").select("id", F.lit("{}").alias("docling_json"))
+    return store.update_json(docs, updates).select("id", F.left("docling_json", F.lit(30)).alias("head"))
+
+
+@query(
+    "s18_clear_sections",
+    f"WITH {S}, {C}, {B}, gone AS (SELECT id FROM documents WHERE source = 'guideline'), dead AS (SELECT id FROM s WHERE document_id IN (SELECT id FROM gone)) "
+    "SELECT (SELECT count(*) FROM s WHERE id NOT IN (SELECT id FROM dead)) AS n_sections, (SELECT count(*) FROM c WHERE section_id IS NULL OR section_id NOT IN (SELECT id FROM dead)) AS n_chunks, "
+    "(SELECT count(*) FROM b WHERE section_id NOT IN (SELECT id FROM dead)) AS n_placed_blocks",
+)
+def s18_clear_sections(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").filter("source = 'guideline'").select("id")
+    left = store.clear_sections({"sections": sections(spark, sf_dir), "parent_chunks": chunks(spark, sf_dir), "raw_blocks": blocks(spark, sf_dir)}, docs)
+    placed = left["raw_blocks"].filter("section_id IS NOT NULL")
+    counts = [left["sections"].agg(F.count("*").alias("n_sections")), left["parent_chunks"].agg(F.count("*").alias("n_chunks")), placed.agg(F.count("*").alias("n_placed_blocks"))]
+    return counts[0].select("n_sections", counts[1].scalar().alias("n_chunks"), counts[2].scalar().alias("n_placed_blocks"))
+
+
 @query("s17_set_sections", f"WITH {B}, last AS (SELECT document_id, id, max(section_id) AS section_id FROM b WHERE section_id IS NOT NULL GROUP BY ALL) SELECT b.id, l.section_id FROM b LEFT JOIN last l ON l.document_id = b.document_id AND l.id = b.id")
 def s17_set_sections(spark, sf_dir):
     rows = blocks(spark, sf_dir)

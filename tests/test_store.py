@@ -158,3 +158,30 @@ def test_review_sample(spark):
     sections = tree(spark).select("id", "heading_path").unionByName(spark.createDataFrame([(7, "Vaccination")], "id bigint, heading_path string"))
     reasons = {r[0]: r[1] for r in qa.review_sample(chunks, sections).groupBy("reason").count().collect()}
     assert reasons["always"] == 1 and 320 < reasons["sample"] < 480
+
+
+def test_update_json(spark):
+    docs = spark.createDataFrame([("a", "1"), ("b", None), ("c", "3")], "id string, docling_json string")
+    updates = spark.createDataFrame([("a", None), ("b", "2")], "id string, docling_json string")
+    assert sorted(map(tuple, store.update_json(docs, updates).collect())) == [("a", None), ("b", "2"), ("c", "3")]
+    with pytest.raises(SchemaError):
+        store.update_json(docs, spark.createDataFrame([("z", "2")], "id string, docling_json string"))
+
+
+def test_chapters_required(spark):
+    from quire.errors import SegmentationError
+    from quire.operators import hierarchy
+
+    assert hierarchy.require_chapters(tree(spark).filter("document_id = 'd'")).count() == 4
+    with pytest.raises(SegmentationError, match="x"):
+        hierarchy.require_chapters(tree(spark))
+
+
+def test_stores_and_parser_outputs(spark, tmp_path):
+    store.create_all(spark, str(tmp_path / "a_rag.db"))
+    (row,) = store.list_stores(spark, str(tmp_path)).collect()
+    assert row["store"] == "a_rag.db" and row["n_documents"] == 0 and row["n_bytes"] > 0
+    docs = spark.createDataFrame([("d1", "# x", "{}"), ("d2", None, "[]")], "n string, m string, j string")
+    export.write_parser_outputs(docs, "n", "m", "j", str(tmp_path / "out"))
+    assert [tuple(r) for r in spark.read.text(str(tmp_path / "out" / "markdown")).collect()] == [("# x", "d1")]
+    assert spark.read.text(str(tmp_path / "out" / "json")).count() == 2
