@@ -29,6 +29,8 @@ RENAMED = 0.45
 WEIGHTS = (0.5, 0.25, 0.25)
 #: Values of one path that are profiled per document; more of them tell nothing new about the path.
 PROFILED = 32
+#: Rows of a batch that goes back to the JVM.
+ROWS = 20_000
 
 
 def feature(value) -> str:
@@ -259,8 +261,12 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
 
     def run(batches):
         types = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.string()] * len(ELEMENT_COLUMNS)]
+
+        def batch_of(columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        columns: list[list] = [[] for _ in names]
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
             for doc, version, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 root = read_json(body.as_py())
                 if not isinstance(root, dict):
@@ -279,7 +285,10 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
                                 row[column] = as_text(value)
                         for c, v in zip(columns, (doc, version, array, i, *(row.get(n) for n, _, _ in ELEMENT_COLUMNS)), strict=True):
                             c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                if len(columns[0]) >= ROWS:
+                    yield batch_of(columns)
+                    columns = [[] for _ in names]
+        yield batch_of(columns)
 
     schema = "doc_id long, release string, array string, ordinal int, " + ", ".join(f"{n} string" for n, _, _ in ELEMENT_COLUMNS)
     rows = df.select(F.col(key).cast("long"), F.col(release).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
