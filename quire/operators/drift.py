@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions.jsontext import as_text, kind_of, read_json
+from quire.operators.mapping import ARRAYS
 from quire.plans.materialize import materialize
 
 #: A renaming needs this agreement: of the values, of their kinds (which few samples show already) and of the names.
@@ -194,12 +195,13 @@ def renamings(top: DataFrame, cat: DataFrame, releases: DataFrame) -> DataFrame:
 
 #: Columns of the one table of elements: name, type, path within the element in the newest release.
 ELEMENT_COLUMNS = (
-    ("element_id", "string", "id"), ("label", "string", "label"), ("text", "string", "text"), ("orig", "string", "orig"), ("level", "int", "level"),
+    ("element_id", "string", "id"), ("label", "string", "label"), ("name", "string", "name"), ("text", "string", "text"), ("orig", "string", "orig"), ("level", "int", "level"),
     ("marker", "string", "marker"), ("style", "string", "style"), ("is_continuation", "boolean", "is_continuation"), ("confidence", "double", "confidence"),
     ("caption", "string", "caption.text"), ("caption_lang", "string", "caption.lang"), ("markdown", "string", "md"), ("num_rows", "int", "data.num_rows"), ("num_cols", "int", "data.num_cols"),
     ("page_no", "int", "prov[0].page_no"), ("bbox_l", "double", "prov[0].bbox.l"), ("bbox_t", "double", "prov[0].bbox.t"), ("bbox_r", "double", "prov[0].bbox.r"), ("bbox_b", "double", "prov[0].bbox.b"),
 )
-ELEMENT_ARRAYS = ("texts", "tables", "pictures", "key_value_items")
+#: Paths of what the column children lists: references as such or as a field of an object.
+CHILDREN = ("children[]", "children[].cref", "children[].ref", "children[].$ref")
 #: Changes of type that a cast can't make: an array read by position, a scalar that became a field of an object.
 RESHAPED = {"prov[0].bbox[0]": "prov[0].bbox.l", "prov[0].bbox[1]": "prov[0].bbox.t", "prov[0].bbox[2]": "prov[0].bbox.r", "prov[0].bbox[3]": "prov[0].bbox.b", "caption": "caption.text"}
 
@@ -217,23 +219,49 @@ def alias_table(log: DataFrame) -> dict[str, str]:
     return out
 
 
-def leaves(value, path: str, out: dict) -> dict:
-    """Scalar fields of one element by path; of arrays of objects only the first is followed."""
-    if isinstance(value, dict):
-        for k, v in value.items():
-            leaves(v, f"{path}.{k}" if path else k, out)
-    elif isinstance(value, list):
-        for i, x in enumerate(value[:1] if value and isinstance(value[0], dict) else value[:8]):
-            leaves(x, f"{path}[{i}]", out)
-    elif value is not None:
-        out[path] = value
-    return out
+def leaves(element):
+    """(path with '[]' after arrays, ordinals in these arrays, value) of each scalar field of one element, in its order."""
+    stack: list[tuple] = [(element, "", ())]
+    while stack:
+        value, path, at = stack.pop()
+        if isinstance(value, dict):
+            stack.extend([(v, f"{path}.{k}" if path else k, at) for k, v in value.items()][::-1])
+        elif isinstance(value, list):
+            stack.extend([(x, f"{path}[]", (*at, i)) for i, x in enumerate(value)][::-1])
+        elif value is not None:
+            yield path, at, value
+
+
+def containers(root, names: dict[str, str]):
+    """(array, its elements) of one document; ``names`` has the newest names of arrays.
+
+    Besides the arrays of mapping.ARRAYS, a document without texts and tables may hold its elements in one of the
+    other places that mapping.dispatch knows.
+    """
+    if isinstance(root, list):
+        if any(isinstance(x, dict) for x in root):
+            yield "[]", root
+        return
+    named = [(names.get(name, name), value) for name, value in root.items()]
+    yield from ((array, value) for array, value in named if array in ARRAYS and isinstance(value, list))
+    if any(array in ("texts", "tables") for array, _ in named):
+        return
+    body, pages = root.get("body"), root.get("pages")
+    others = {
+        "elements": root.get("elements"),
+        "body": body,
+        "body.elements": body.get("elements") if isinstance(body, dict) else None,
+        "pages[].elements": [x for page in pages if isinstance(page, dict) and isinstance(page.get("elements"), list) for x in page["elements"]] if isinstance(pages, list) else None,
+    }
+    yield from [(array, value) for array, value in others.items() if isinstance(value, list)][:1]
 
 
 def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases: dict[str, str]) -> DataFrame:
-    """One row per layout element of every release: doc_id, release, array, ordinal and ELEMENT_COLUMNS.
+    """One row per layout element of every release: doc_id, release, array, ordinal, ELEMENT_COLUMNS and children.
 
-    Values that do not fit the column's type are null; texts that are null or not complete JSON have no rows.
+    ``array`` is the newest name of the array that holds the element, '[]' if the document is a list; ``children``
+    are the references of a group.  Values that do not fit the column's type are null; texts that are null or not
+    complete JSON have no rows.
     """
     # an alias of the whole path becomes one of the array's name or of the path within the element
     arrays = {o: n for o, n in aliases.items() if "[" not in o and "." not in o}
@@ -241,10 +269,12 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
     for o, n in aliases.items():
         if "[]." in o:
             (a, x), (_, y) = o.split("[].", 1), n.split("[].", 1)
-            inner[a, x.replace("[]", "[0]")] = y.replace("[]", "[0]")
+            inner[a, x] = y
     wanted = {path: name for name, _, path in ELEMENT_COLUMNS}
 
     def canonical(array: str, path: str) -> str:
+        # arrays that no release links to those of the others hold the same fields as texts
+        array = array if array in ARRAYS else "texts"
         parts = path.split(".")
         for i in range(1, len(parts) + 1):
             head = ".".join(parts[:i])
@@ -253,14 +283,34 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
                 seen.add(head)
                 head = inner[array, head]
             parts[:i] = head.split(".") if head.count(".") == i - 1 else [head]
-        path = ".".join(parts)
+        return ".".join(parts)
+
+    def placed(path: str, at: tuple) -> str:
+        """The path with its ordinals."""
+        first, *rest = path.split("[]")
+        path = first + "".join(f"[{i}]{x}" for i, x in zip(at, rest, strict=True))
         return RESHAPED.get(path, path)
 
-    memo: dict[tuple[str, str], str | None] = {}
-    names = ["doc_id", "release", "array", "ordinal", *(n for n, _, _ in ELEMENT_COLUMNS)]
+    memo: dict[tuple[str, str], str] = {}
+    names = ["doc_id", "release", "array", "ordinal", *(n for n, _, _ in ELEMENT_COLUMNS), "children"]
+
+    def row_of(array: str, element) -> tuple[dict, list]:
+        row: dict[str, str | None] = {}
+        children = []
+        for path, at, value in leaves(element):
+            if (array, path) not in memo:
+                new = canonical(array, path)
+                memo[array, path] = new if new.count("[]") == path.count("[]") else path
+            new = memo[array, path]
+            column = wanted.get(placed(new, at))
+            if column:
+                row[column] = as_text(value)
+            elif new in CHILDREN:
+                children.append(as_text(value))
+        return row, children
 
     def run(batches):
-        types = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.string()] * len(ELEMENT_COLUMNS)]
+        types = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.string()] * len(ELEMENT_COLUMNS), pa.list_(pa.string())]
 
         def batch_of(columns):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
@@ -269,31 +319,22 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
         for batch in batches:
             for doc, version, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 root = read_json(body.as_py())
-                if not isinstance(root, dict):
+                if root is None:
                     continue
-                for name, elements in root.items():
-                    array = arrays.get(name, name)
-                    if array not in ELEMENT_ARRAYS or not isinstance(elements, list):
-                        continue
+                for array, elements in containers(root, arrays):
                     for i, element in enumerate(elements):
-                        row = {}
-                        for path, value in leaves(element, "", {}).items():
-                            if (array, path) not in memo:
-                                memo[array, path] = wanted.get(canonical(array, path))
-                            column = memo[array, path]
-                            if column:
-                                row[column] = as_text(value)
-                        for c, v in zip(columns, (doc, version, array, i, *(row.get(n) for n, _, _ in ELEMENT_COLUMNS)), strict=True):
+                        row, children = row_of(array, element)
+                        for c, v in zip(columns, (doc, version, array, i, *(row.get(n) for n, _, _ in ELEMENT_COLUMNS), children), strict=True):
                             c.append(v)
-                if len(columns[0]) >= ROWS:
-                    yield batch_of(columns)
-                    columns = [[] for _ in names]
+                        if len(columns[0]) >= ROWS:
+                            yield batch_of(columns)
+                            columns = [[] for _ in names]
         yield batch_of(columns)
 
-    schema = "doc_id long, release string, array string, ordinal int, " + ", ".join(f"{n} string" for n, _, _ in ELEMENT_COLUMNS)
+    schema = "doc_id long, release string, array string, ordinal int, " + ", ".join(f"{n} string" for n, _, _ in ELEMENT_COLUMNS) + ", children array<string>"
     rows = df.select(F.col(key).cast("long"), F.col(release).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
     flat = rows.mapInArrow(run, schema)
-    return flat.select("doc_id", "release", "array", "ordinal", *[F.col(n).try_cast(kind).alias(n) for n, kind, _ in ELEMENT_COLUMNS])
+    return flat.select("doc_id", "release", "array", "ordinal", *[F.col(n).try_cast(kind).alias(n) for n, kind, _ in ELEMENT_COLUMNS], "children")
 
 
 def layout_changes(spark, sf_dir: str) -> DataFrame:

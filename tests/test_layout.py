@@ -137,6 +137,25 @@ def test_one_table_for_all_releases(spark):
     assert (got["p"]["caption"], got["p"]["caption_lang"], got["q"]["caption"]) == ("c", "en", None)
 
 
+def test_every_layout_gives_its_elements(spark):
+    docs = [
+        {"texts": [{"text": "a"}], "groups": [{"label": "list", "name": "g", "children": [{"ref": "#/texts/0"}, {"cref": "#/texts/1"}, "#/texts/2"]}], "form_items": [{"id": "f"}], "pages": [{"page_no": 1}]},
+        {"elements": [{"text": "b", "prov": [{"page": 7}]}]},
+        {"body": [{"text": "c"}]},
+        {"body": {"elements": [{"text": "d"}]}},
+        {"pages": [{"elements": [{"text": "e"}]}, {}, {"elements": [{"text": "f"}]}]},
+        [{"text": "g"}, {"text": "h"}],
+        {"groups": [{"name": "i"}]},
+    ]
+    df = spark.createDataFrame([(i, "1", json.dumps(d)) for i, d in enumerate(docs)], "doc_id bigint, v string, j string")
+    got = drift.unified_elements(df, "doc_id", "v", "j", {"texts[].prov[].page": "texts[].prov[].page_no"}).collect()
+    assert sorted((r["doc_id"], r["array"], r["ordinal"], r["text"] or r["name"] or r["element_id"]) for r in got) == [
+        (0, "form_items", 0, "f"), (0, "groups", 0, "g"), (0, "texts", 0, "a"), (1, "elements", 0, "b"), (2, "body", 0, "c"), (3, "body.elements", 0, "d"),
+        (4, "pages[].elements", 0, "e"), (4, "pages[].elements", 1, "f"), (5, "[]", 0, "g"), (5, "[]", 1, "h"), (6, "groups", 0, "i"),
+    ]
+    assert {r["name"]: r["children"] for r in got}["g"] == ["#/texts/0", "#/texts/1", "#/texts/2"] and {r["text"]: r["page_no"] for r in got}["b"] == 7
+
+
 def test_release_order(spark):
     df = spark.createDataFrame([("2.10.0",), ("2.3.1",), ("0.9.2",), ("2.3",)], "r string")
     assert [r[0] for r in df.orderBy(drift.release_order(F.col("r"))).collect()] == ["0.9.2", "2.3", "2.3.1", "2.10.0"]
