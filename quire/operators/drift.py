@@ -30,8 +30,8 @@ RENAMED = 0.45
 WEIGHTS = (0.5, 0.25, 0.25)
 #: Values of one path that are profiled per document; more of them tell nothing new about the path.
 PROFILED = 32
-#: Rows of a batch that goes back to the JVM.
-ROWS = 20_000
+#: Rows of a batch that goes back to the JVM, with the entries of their arrays.
+VALUES = 5_000
 
 
 def feature(value) -> str:
@@ -198,12 +198,13 @@ ELEMENT_COLUMNS = (
     ("element_id", "string", "id"), ("label", "string", "label"), ("name", "string", "name"), ("text", "string", "text"), ("orig", "string", "orig"), ("level", "int", "level"),
     ("marker", "string", "marker"), ("style", "string", "style"), ("is_continuation", "boolean", "is_continuation"), ("confidence", "double", "confidence"),
     ("caption", "string", "caption.text"), ("caption_lang", "string", "caption.lang"), ("markdown", "string", "md"), ("num_rows", "int", "data.num_rows"), ("num_cols", "int", "data.num_cols"),
-    ("page_no", "int", "prov[0].page_no"), ("bbox_l", "double", "prov[0].bbox.l"), ("bbox_t", "double", "prov[0].bbox.t"), ("bbox_r", "double", "prov[0].bbox.r"), ("bbox_b", "double", "prov[0].bbox.b"),
 )
+#: Fields of each entry of the column prov; those of the first entry are columns, too.
+PROV_COLUMNS = (("page_no", "int", "prov[].page_no"), ("bbox_l", "double", "prov[].bbox.l"), ("bbox_t", "double", "prov[].bbox.t"), ("bbox_r", "double", "prov[].bbox.r"), ("bbox_b", "double", "prov[].bbox.b"))
 #: Paths of what the column children lists: references as such or as a field of an object.
 CHILDREN = ("children[]", "children[].cref", "children[].ref", "children[].$ref")
 #: Changes of type that a cast can't make: an array read by position, a scalar that became a field of an object.
-RESHAPED = {"prov[0].bbox[0]": "prov[0].bbox.l", "prov[0].bbox[1]": "prov[0].bbox.t", "prov[0].bbox[2]": "prov[0].bbox.r", "prov[0].bbox[3]": "prov[0].bbox.b", "caption": "caption.text"}
+BOX, RESHAPED = "prov[].bbox[]", {"caption": "caption.text"}
 
 
 def alias_table(log: DataFrame) -> dict[str, str]:
@@ -257,11 +258,12 @@ def containers(root, names: dict[str, str]):
 
 
 def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases: dict[str, str]) -> DataFrame:
-    """One row per layout element of every release: doc_id, release, array, ordinal, ELEMENT_COLUMNS and children.
+    """One row per layout element of every release: doc_id, release, array, ordinal, ELEMENT_COLUMNS, PROV_COLUMNS, prov, children and rest.
 
-    ``array`` is the newest name of the array that holds the element, '[]' if the document is a list; ``children``
-    are the references of a group.  Values that do not fit the column's type are null; texts that are null or not
-    complete JSON have no rows.
+    ``array`` is the newest name of the array that holds the element, '[]' if the document is a list; ``prov`` has
+    PROV_COLUMNS of every provenance; ``children`` are the references of a group; ``rest`` has path and value of every
+    scalar that no column takes (table cells, key-value cells and links, fields not known here).  Values that do
+    not fit the column's type are null; texts that are null or not complete JSON have no rows.
     """
     # an alias of the whole path becomes one of the array's name or of the path within the element
     arrays = {o: n for o, n in aliases.items() if "[" not in o and "." not in o}
@@ -271,6 +273,7 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
             (a, x), (_, y) = o.split("[].", 1), n.split("[].", 1)
             inner[a, x] = y
     wanted = {path: name for name, _, path in ELEMENT_COLUMNS}
+    of_prov = {path: k for k, (_, _, path) in enumerate(PROV_COLUMNS)}
 
     def canonical(array: str, path: str) -> str:
         # arrays that no release links to those of the others hold the same fields as texts
@@ -287,35 +290,50 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
 
     def placed(path: str, at: tuple) -> str:
         """The path with its ordinals."""
-        first, *rest = path.split("[]")
-        path = first + "".join(f"[{i}]{x}" for i, x in zip(at, rest, strict=True))
-        return RESHAPED.get(path, path)
+        first, *more = path.split("[]")
+        return first + "".join(f"[{i}]{x}" for i, x in zip(at, more, strict=True))
 
     memo: dict[tuple[str, str], str] = {}
-    names = ["doc_id", "release", "array", "ordinal", *(n for n, _, _ in ELEMENT_COLUMNS), "children"]
+    names = ["doc_id", "release", "array", "ordinal", *(n for n, _, _ in ELEMENT_COLUMNS), "prov", "children", "rest"]
 
-    def row_of(array: str, element) -> tuple[dict, list]:
-        row: dict[str, str | None] = {}
-        children = []
+    def row_of(array: str, element) -> tuple[dict, list, list, list]:
+        row: dict[str, str] = {}
+        taken: dict[str, str] = {}
+        prov: list[list] = []
+        children, rest = [], []
         for path, at, value in leaves(element):
             if (array, path) not in memo:
                 new = canonical(array, path)
-                memo[array, path] = new if new.count("[]") == path.count("[]") else path
-            new = memo[array, path]
-            column = wanted.get(placed(new, at))
-            if column:
-                row[column] = as_text(value)
+                memo[array, path] = RESHAPED.get(new, new) if new.count("[]") == path.count("[]") else path
+            new, value = memo[array, path], as_text(value)
+            column = wanted.get(new)
+            field = at[1] + 1 if new == BOX and at[1] < 4 else of_prov.get(new)
+            if field is not None:
+                prov.extend([None] * len(PROV_COLUMNS) for _ in range(at[0] + 1 - len(prov)))
+            if column and column not in row:
+                row[column], taken[column] = value, path
+            elif field is not None and prov[at[0]][field] is None:
+                prov[at[0]][field] = value
             elif new in CHILDREN:
-                children.append(as_text(value))
-        return row, children
+                children.append(value)
+            elif column and new == path:
+                # of two fields for one column, the one of the newest name is taken
+                rest.append((taken[column], row[column]))
+                row[column], taken[column] = value, path
+            else:
+                rest.append((placed(new if column is None and field is None else path, at), value))
+        return row, prov, children, rest
 
     def run(batches):
-        types = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.string()] * len(ELEMENT_COLUMNS), pa.list_(pa.string())]
+        entry = pa.struct([(n, pa.string()) for n, _, _ in PROV_COLUMNS])
+        pair = pa.struct([("path", pa.string()), ("value", pa.string())])
+        types = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.string()] * len(ELEMENT_COLUMNS), pa.list_(entry), pa.list_(pa.string()), pa.list_(pair)]
 
         def batch_of(columns):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         columns: list[list] = [[] for _ in names]
+        held = 0
         for batch in batches:
             for doc, version, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 root = read_json(body.as_py())
@@ -323,18 +341,26 @@ def unified_elements(df: DataFrame, key: str, release: str, text: str, aliases:
                     continue
                 for array, elements in containers(root, arrays):
                     for i, element in enumerate(elements):
-                        row, children = row_of(array, element)
-                        for c, v in zip(columns, (doc, version, array, i, *(row.get(n) for n, _, _ in ELEMENT_COLUMNS), children), strict=True):
+                        row, prov, children, rest = row_of(array, element)
+                        entries = [tuple(x) for x in prov]
+                        for c, v in zip(columns, (doc, version, array, i, *(row.get(n) for n, _, _ in ELEMENT_COLUMNS), entries, children, rest), strict=True):
                             c.append(v)
-                        if len(columns[0]) >= ROWS:
+                        held += 1 + len(prov) + len(children) + len(rest)
+                        if held >= VALUES:
                             yield batch_of(columns)
-                            columns = [[] for _ in names]
+                            columns, held = [[] for _ in names], 0
         yield batch_of(columns)
 
-    schema = "doc_id long, release string, array string, ordinal int, " + ", ".join(f"{n} string" for n, _, _ in ELEMENT_COLUMNS) + ", children array<string>"
+    entry = ", ".join(f"{n}: string" for n, _, _ in PROV_COLUMNS)
+    schema = "doc_id long, release string, array string, ordinal int, " + ", ".join(f"{n} string" for n, _, _ in ELEMENT_COLUMNS)
+    schema += f", prov array<struct<{entry}>>, children array<string>, rest array<struct<path: string, value: string>>"
     rows = df.select(F.col(key).cast("long"), F.col(release).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
     flat = rows.mapInArrow(run, schema)
-    return flat.select("doc_id", "release", "array", "ordinal", *[F.col(n).try_cast(kind).alias(n) for n, kind, _ in ELEMENT_COLUMNS], "children")
+    first = F.get("prov", F.lit(0))
+    return flat.select(
+        "doc_id", "release", "array", "ordinal", *[F.col(n).try_cast(kind).alias(n) for n, kind, _ in ELEMENT_COLUMNS], *[first[n].try_cast(kind).alias(n) for n, kind, _ in PROV_COLUMNS],
+        F.transform("prov", lambda p: F.struct(*[p[n].try_cast(kind).alias(n) for n, kind, _ in PROV_COLUMNS])).alias("prov"), "children", "rest",
+    )
 
 
 def layout_changes(spark, sf_dir: str) -> DataFrame:

@@ -156,6 +156,20 @@ def test_every_layout_gives_its_elements(spark):
     assert {r["name"]: r["children"] for r in got}["g"] == ["#/texts/0", "#/texts/1", "#/texts/2"] and {r["text"]: r["page_no"] for r in got}["b"] == 7
 
 
+def test_elements_keep_every_provenance_and_field(spark):
+    table = {"id": "t", "prov": [{"page": 3, "bbox": [1, 2, 3, 4, 5]}, {"page": 4, "bbox": {"l": 6}, "span": [0, 9]}], "data": {"num_rows": 1, "table_cells": [{"text": "x"}, {"text": "y"}]}}
+    pair = {"id": "k", "key": "old", "links": [{"from": 0, "to": 1}], "odd": True, "none": None}
+    df = spark.createDataFrame([(1, "1", json.dumps({"tables": [table], "key_value_items": [pair]}))], "doc_id bigint, v string, j string")
+    aliases = {"tables[].prov[].page": "tables[].prov[].page_no", "key_value_items[].key": "key_value_items[].id"}
+    got = {r["element_id"]: r for r in drift.unified_elements(df, "doc_id", "v", "j", aliases).collect()}
+    assert [tuple(p) for p in got["t"]["prov"]] == [(3, 1.0, 2.0, 3.0, 4.0), (4, 6.0, None, None, None)] and (got["t"]["page_no"], got["t"]["bbox_b"], got["t"]["num_rows"]) == (3, 4.0, 1)
+    assert [tuple(x) for x in got["t"]["rest"]] == [
+        ("prov[0].bbox[4]", "5"), ("prov[1].span[0]", "0"), ("prov[1].span[1]", "9"), ("data.table_cells[0].text", "x"), ("data.table_cells[1].text", "y"),
+    ]
+    assert [tuple(x) for x in got["k"]["rest"]] == [("key", "old"), ("links[0].from", "0"), ("links[0].to", "1"), ("odd", "true")]
+    assert got["k"]["prov"] == [] and got["k"]["page_no"] is None
+
+
 def test_release_order(spark):
     df = spark.createDataFrame([("2.10.0",), ("2.3.1",), ("0.9.2",), ("2.3",)], "r string")
     assert [r[0] for r in df.orderBy(drift.release_order(F.col("r"))).collect()] == ["0.9.2", "2.3", "2.3.1", "2.10.0"]
