@@ -374,24 +374,25 @@ class Reader:
         return cut, misread
 
 
-FOUND = "block_id long, document_id string, kind string, keys array<string>"
+FOUND = "block_id long, document_id string, kind string, keys array<string>, body string"
 
 
 def scan(rows: DataFrame, sketch: dict) -> DataFrame:
-    """block_id, document_id, kind, keys.
+    """block_id, document_id, kind, keys, body.
 
     kind is 'hyphen', 'misread', 'inline' or 'furniture' where certain; 'inline?', 'furniture?' and 'heading?' with the keys
-    of lines that are damage if the document has such a header; 'header' with the keys of a typed header.
+    of lines that are damage if the document has such a header; 'header' with the keys of a typed header; 'passage?' with
+    the text of a block whose words can be judged only when it is known which of its lines are headers.
     """
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
         reader = Reader(Model(shared.value))
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, list, list, list, list] = ([], [], [], [], [])
 
-            def add(block, doc, kind, keys=None, out=out):
-                for c, v in zip(out, (block, doc, kind, keys), strict=True):
+            def add(block, doc, kind, keys=None, body=None, out=out):
+                for c, v in zip(out, (block, doc, kind, keys, body), strict=True):
                     c.append(v)
 
             for block, doc, kind, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
@@ -415,17 +416,42 @@ def scan(rows: DataFrame, sketch: dict) -> DataFrame:
                     add(block, doc, "inline")
                 for k in headers:
                     add(block, doc, "inline?", header_keys(lines[k]))
-                cut, misread = reader.damage(lines, body or headers)
+                if headers:
+                    add(block, doc, "passage?", body=text.as_py())
+                    continue
+                cut, misread = reader.damage(lines, body)
                 if cut:
                     add(block, doc, "hyphen")
                 if misread:
                     add(block, doc, "misread")
-            types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["block_id", "document_id", "kind", "keys"])
+            types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["block_id", "document_id", "kind", "keys", "body"])
 
     return rows.mapInArrow(run, FOUND)
 
 
+def judged(passages: DataFrame, sketch: dict) -> DataFrame:
+    """block_id, kind: 'hyphen' and 'misread' of passages (block_id, body, drop) without the lines of the headers ``drop``."""
+    shared = passages.sparkSession.sparkContext.broadcast(sketch)
+
+    def run(batches):
+        reader = Reader(Model(shared.value))
+        for batch in batches:
+            blocks, kinds = [], []
+            for block, text, drop in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                lines = lines_of(text.as_py())
+                body, _, headers = reader.split(lines)
+                gone = set(drop or ())
+                kept = [k for k in headers if not gone.intersection(header_keys(lines[k]))]
+                for kind, there in zip(("hyphen", "misread"), reader.damage(lines, sorted(body + kept)), strict=True):
+                    if there:
+                        blocks.append(block)
+                        kinds.append(kind)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(kinds, pa.string())], names=["block_id", "kind"])
+
+    return passages.mapInArrow(run, "block_id long, kind string")
+
+
 def text_blocks(blocks: DataFrame, *more: str) -> DataFrame:
     return blocks.select(F.col("id").cast("long").alias("block_id"), "document_id", "block_type", F.col("text_content").alias("body"), *more).filter(F.length("body") > 0)
 
@@ -442,7 +468,7 @@ def confirmed_keys(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     blocks = found.filter("kind = 'furniture?'").select("block_id", "document_id", F.explode("keys").alias("key")).distinct()
     again = blocks.groupBy("document_id", "key").count().filter("count > 1").select("document_id", "key")
     headers = typed.unionByName(again).distinct()
-    asked = found.filter(F.col("kind").endswith("?")).select(
+    asked = found.filter(F.col("kind").isin("inline?", "furniture?", "heading?")).select(
         "block_id", "document_id", F.when(F.col("kind") == "inline?", "inline").otherwise("furniture").alias("kind"), F.explode("keys").alias("key")
     )
     return headers, asked
@@ -455,11 +481,15 @@ def damage(blocks: DataFrame) -> DataFrame:
     texts and typed headers and footers have no rows; a block that occurs in several rows counts once.
     """
     rows = text_blocks(blocks)
-    found = materialize(scan(rows, learn(rows)))
+    sketch = learn(rows)
+    found = materialize(scan(rows, sketch))
     headers, asked = confirmed_keys(found)
     sure = found.filter(F.col("kind").isin("hyphen", "misread", "inline", "furniture")).select("block_id", "kind")
-    meant = asked.join(headers, ["document_id", "key"], "left_semi").select("block_id", "kind")
-    out = sure.unionByName(meant).distinct()
+    known = materialize(asked.join(headers, ["document_id", "key"], "left_semi"))
+    drop = known.filter("kind = 'inline'").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
+    open_ = found.filter("kind = 'passage?'").select("block_id", "body")
+    passages = join_checked(open_, drop, ["block_id"], "left", 128).select("block_id", "body", "drop")
+    out = sure.unionByName(known.select("block_id", "kind")).unionByName(judged(passages, sketch)).distinct()
     whole = out.filter("kind = 'furniture'").select("block_id")
     # a block that is furniture as a whole has no passage that could be damaged
     return out.filter("kind = 'furniture'").unionByName(out.filter("kind <> 'furniture'").join(whole, "block_id", "left_anti"))

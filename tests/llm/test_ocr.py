@@ -51,6 +51,18 @@ def test_found(blocks):
     assert got - {(9002, "misread")} == EXPECTED
 
 
+def test_lines_like_headers_are_judged(spark):
+    lines = [
+        (9101, "d1", "text", "14 Days of Feoer\nthe patient was seen at the maternity ward.", 1, "x", "y"),
+        (9102, "d1", "text", "the patient was seen at the\n14 Maternity Warcl\nand given a second dose of medicine.", 1, "x", "y"),
+        (9103, "d1", "text", "Ask The Mother Ab\nout recent fever before the treatment is started.", 1, "x", "y"),
+        (9104, "d1", "text", "the patient was seen at the mater-\nVlllage1 Health Guide 2007\nnity ward.", 1, "x", "y"),
+        (9105, "d1", "text", "Keep The Syrup Below\nten degrees and away from strong light.", 1, "x", "y"),
+    ]
+    got = {tuple(r) for r in ocr.damage(spark.createDataFrame(clean_rows() + lines, BLOCKS)).filter("block_id > 9100").collect()}
+    assert got == {(9102, "misread"), (9103, "hyphen"), (9104, "hyphen"), (9104, "inline")}
+
+
 def test_repaired(blocks):
     got = {r["block_id"]: r["passage"] for r in ocr.repaired(blocks).filter("block_id > 9000").collect()}
     assert got[9001] == "the patient was seen at the maternity ward and given a second dose of medicine."
