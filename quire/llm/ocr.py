@@ -86,6 +86,13 @@ def header_keys(line: str) -> list[str]:
     return sorted({"".join(f.lower().translate(SKELETON).split()) for f in forms if len(f) >= 4})
 
 
+def around(lines: list[str], k: int, block) -> list[str]:
+    """Skeletons of the words before and after a line; the block's id where the text ends."""
+    before = next((w[-1] for i in range(k - 1, -1, -1) if (w := words_of(lines[i]))), f"{block}")
+    after = next((w[0] for i in range(k + 1, len(lines)) if (w := words_of(lines[i]))), f"{block}")
+    return [before.translate(SKELETON), after.translate(SKELETON)]
+
+
 def looks_like_header(line: str) -> bool:
     """Few words, most of them capitalised or numbers, and no punctuation at the end."""
     plain = line.strip()
@@ -374,14 +381,14 @@ class Reader:
         return cut, misread
 
 
-FOUND = "block_id long, document_id string, kind string, keys array<string>, body string"
+FOUND = "block_id long, document_id string, kind string, keys array<string>, around array<string>, body string"
 
 
 def scan(rows: DataFrame, sketch: dict) -> DataFrame:
-    """block_id, document_id, kind, keys, body.
+    """block_id, document_id, kind, keys, around, body.
 
     kind is 'hyphen', 'misread', 'inline' or 'furniture' where certain; 'inline?', 'furniture?' and 'heading?' with the keys
-    of lines that are damage if the document has such a header; 'header' with the keys of a typed header; 'passage?' with
+    of lines that are damage if the document has such a header, and with the words around a line that is evidence for a header itself; 'header' with the keys of a typed header; 'passage?' with
     the text of a block whose words can be judged only when it is known which of its lines are headers.
     """
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
@@ -389,10 +396,10 @@ def scan(rows: DataFrame, sketch: dict) -> DataFrame:
     def run(batches):
         reader = Reader(Model(shared.value))
         for batch in batches:
-            out: tuple[list, list, list, list, list] = ([], [], [], [], [])
+            out: tuple[list, list, list, list, list, list] = ([], [], [], [], [], [])
 
-            def add(block, doc, kind, keys=None, body=None, out=out):
-                for c, v in zip(out, (block, doc, kind, keys, body), strict=True):
+            def add(block, doc, kind, keys=None, around=None, body=None, out=out):
+                for c, v in zip(out, (block, doc, kind, keys, around, body), strict=True):
                     c.append(v)
 
             for block, doc, kind, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
@@ -408,14 +415,15 @@ def scan(rows: DataFrame, sketch: dict) -> DataFrame:
                     add(block, doc, "furniture")
                     continue
                 if len(filled) == 1 and looks_like_header(filled[0]):
-                    add(block, doc, "heading?" if kind == "section_header" else "furniture?", header_keys(filled[0]))
+                    add(block, doc, "heading?" if kind == "section_header" else "furniture?", header_keys(filled[0]), [f"{block}"] * 2)
                 body, numbers, headers = reader.split(lines)
                 if len(filled) == 1:
                     body, numbers, headers = [k for k, x in enumerate(lines) if x.strip()], [], []
                 if numbers and (body or headers):
                     add(block, doc, "inline")
                 for k in headers:
-                    add(block, doc, "inline?", header_keys(lines[k]))
+                    # the lines of a key-value block are its fields
+                    add(block, doc, "inline?", header_keys(lines[k]), None if kind == "key_value_item" else around(lines, k, block))
                 if headers:
                     add(block, doc, "passage?", body=text.as_py())
                     continue
@@ -424,8 +432,8 @@ def scan(rows: DataFrame, sketch: dict) -> DataFrame:
                     add(block, doc, "hyphen")
                 if misread:
                     add(block, doc, "misread")
-            types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["block_id", "document_id", "kind", "keys", "body"])
+            types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["block_id", "document_id", "kind", "keys", "around", "body"])
 
     return rows.mapInArrow(run, FOUND)
 
@@ -463,10 +471,18 @@ def learn(rows: DataFrame) -> dict:
 
 
 def confirmed_keys(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(document_id, key) of the documents' headers, typed or repeated as blocks of their own; (block_id, document_id, kind, key) of the lines in question."""
+    """(document_id, key) of the documents' headers, typed or repeated; (block_id, document_id, kind, key) of the lines in question.
+
+    A line is repeated if it occurs in two blocks, as a block or within a passage, between other words each time
+    (copies of one passage have the same words there).  Headings alone are no evidence.
+    """
     typed = found.filter("kind = 'header'").select("document_id", F.explode("keys").alias("key")).distinct()
-    blocks = found.filter("kind = 'furniture?'").select("block_id", "document_id", F.explode("keys").alias("key")).distinct()
-    again = blocks.groupBy("document_id", "key").count().filter("count > 1").select("document_id", "key")
+    seen = found.filter("around IS NOT NULL").select("block_id", "document_id", "kind", F.col("around")[0].alias("before"), F.col("around")[1].alias("after"), F.explode("keys").alias("key"))
+    # two of a kind are enough, and smallest and largest tell whether there are two
+    two = F.lit(True)
+    for c in ("block_id", "before", "after"):
+        two = two & (F.min(c) < F.max(c))
+    again = seen.groupBy("document_id", "key").agg((two & (F.count_if(F.col("kind") != "heading?") > 0)).alias("repeated")).filter("repeated").select("document_id", "key")
     headers = typed.unionByName(again).distinct()
     asked = found.filter(F.col("kind").isin("inline?", "furniture?", "heading?")).select(
         "block_id", "document_id", F.when(F.col("kind") == "inline?", "inline").otherwise("furniture").alias("kind"), F.explode("keys").alias("key")
@@ -504,7 +520,7 @@ def repaired(blocks: DataFrame) -> DataFrame:
     """
     rows = text_blocks(blocks, "page_number").filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer"))
     sketch = learn(text_blocks(blocks))
-    headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), sketch)))
+    headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), sketch).filter("kind <> 'passage?'")))
     lines = asked.join(headers, ["document_id", "key"], "left_semi").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
 

@@ -63,6 +63,22 @@ def test_lines_like_headers_are_judged(spark):
     assert got == {(9102, "misread"), (9103, "hyphen"), (9104, "hyphen"), (9104, "inline")}
 
 
+def test_headers_seen_in_passages(spark):
+    a, b = "the patient was seen at the maternity ward", "and given a second dose of medicine."
+    c, d = "keep the syrup below ten degrees", "away from strong light."
+    texts = {
+        "once as a block": [("text", f"{a}\nClinic Manual 2011\n{b}"), ("paragraph", "Clinic Manual 2011")],
+        "in passages": [("text", f"{a}\nClinic Manual 2011 4\n{b}"), ("text", f"{c}\nClinic Manual 2011 5\n{d}")],
+        "as a heading": [("text", f"{a}\nClinic Manual 2011\n{b}"), ("section_header", "Clinic Manual 2011")],
+        "copies": [("text", f"{a}\nClinic Manual 2011\n{b}"), ("text", f"{a}\nCLINIC MANUAL 2011\n{b}")],
+        "headings": [("section_header", "Clinic Manual 2011"), ("section_header", "Clinic Manual 2011")],
+        "fields": [("key_value_item", "Drug: syrup\nDose: 2.5 mg\nroute: by mouth."), ("key_value_item", "Drug: tablet\nDose: 2.5 mg\nage: adults.")],
+    }
+    rows = [(9200 + 10 * i + k, doc, kind, text, 1, "x", "y") for i, (doc, blocks) in enumerate(texts.items()) for k, (kind, text) in enumerate(blocks)]
+    got = {tuple(r) for r in ocr.damage(spark.createDataFrame(clean_rows() + rows, BLOCKS)).filter("block_id >= 9200 AND kind IN ('inline', 'furniture')").collect()}
+    assert got == {(9200, "inline"), (9201, "furniture"), (9210, "inline"), (9211, "inline"), (9220, "inline"), (9221, "furniture")}
+
+
 def test_repaired(blocks):
     got = {r["block_id"]: r["passage"] for r in ocr.repaired(blocks).filter("block_id > 9000").collect()}
     assert got[9001] == "the patient was seen at the maternity ward and given a second dose of medicine."
