@@ -28,8 +28,6 @@ from quire.plans.materialize import materialize
 #: A renaming needs this agreement: of the values, of their kinds (which few samples show already) and of the names.
 RENAMED = 0.45
 WEIGHTS = (0.5, 0.25, 0.25)
-#: Values of one path that are profiled per document; more of them tell nothing new about the path.
-PROFILED = 32
 #: Rows of a batch that goes back to the JVM, with the entries of their arrays.
 VALUES = 5_000
 
@@ -44,13 +42,12 @@ def feature(value) -> str:
         return f"{'f' if value != int(value) else 'n'}{math.copysign(round(math.log10(abs(value)) * 2), value):g}"
     if len(value) <= 12 and value.isalpha():
         return f"v{zlib.crc32(value.encode()) % 256}"
-    kinds = {"9" if c.isdigit() else "a" if c.isalpha() else c for c in value[:64]}
+    kinds = {"9" if c.isdigit() else "a" if c.isalpha() else c for c in set(value)}
     return f"{''.join(sorted(kinds)) if len(kinds) <= 4 else '*'}~{len(value).bit_length()}"
 
 
 def survey(root, seen: dict, profile: Counter) -> None:
     """Adds the paths and types of one document to ``seen`` and the features of its values to ``profile``."""
-    held: Counter = Counter()
     stack = [(root, "")]
     while stack:
         value, path = stack.pop()
@@ -58,22 +55,19 @@ def survey(root, seen: dict, profile: Counter) -> None:
         if path and kind != "null":
             seen[path, kind] = 1
         if kind == "object":
-            if path and held[path] < PROFILED:
-                held[path] += 1
+            if path:
                 for k in value:
                     profile[path, kind, f"k{k}"] += 1
             stack.extend((v, f"{path}.{k}" if path else k) for k, v in value.items())
         elif kind == "array":
-            if path and held[path] < PROFILED:
-                held[path] += 1
+            if path:
                 profile[path, kind, f"l{len(value).bit_length()}"] += 1
-                for x in value[:PROFILED]:
+                for x in value:
                     if isinstance(x, dict):
                         for k in x:
                             profile[path, kind, f"k{k}"] += 1
             stack.extend((x, f"{path}[]") for x in value)
-        elif kind != "null" and held[path] < PROFILED:
-            held[path] += 1
+        elif kind != "null":
             profile[path, kind, feature(value)] += 1
 
 

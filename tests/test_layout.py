@@ -112,6 +112,14 @@ def test_changes(spark):
     assert spans["elements[].page", "number"] == ("1.2.0", "1.2.0") and spans["elements[].page_no", "number"] == ("1.9.0", "1.10.0")
 
 
+def test_profiles_count_all_values(spark):
+    doc = {"a": [{"x": i % 3, "t": "b" * 70 + "-1" * (i % 2)} for i in range(300)]}
+    cat = drift.catalogue(spark.createDataFrame([("1", json.dumps(doc))], "v string, j string"), "v", "j")
+    got = {(r["path"], r["feature"]): r["n"] for r in cat.filter("feature IS NOT NULL").collect()}
+    assert [got["a[].x", f"i{i}"] for i in range(3)] == [100] * 3 and got["a", "kx"] == got["a[]", "kx"] == 300
+    assert got["a[].t", "a~7"] == 150 and got["a[].t", "-9a~7"] == 150
+
+
 def test_no_releases(spark):
     df = spark.createDataFrame([], "v string, j string")
     assert drift.changes(drift.catalogue(df, "v", "j")).count() == 0
