@@ -184,7 +184,6 @@ class Model:
         self.total, self.numbers = max(1.0, sketch["total"]), sketch["numbers"]
         self.counts: dict[str, float] = {}
         self.known: set[str] = set()
-        self.common: set[str] = set()
         self.odd: dict[str, list[tuple[str, float]]] = {}
 
     def count(self, key: str) -> float:
@@ -236,7 +235,6 @@ class Model:
             return True
         if len(self.known) > MEMO:
             self.known.clear()
-            self.common.clear()
         if len(self.odd) > MEMO:
             self.odd.clear()
         if not w.isdecimal():
@@ -248,8 +246,6 @@ class Model:
                     self.odd[w] = found
                     return True
         self.known.add(w)
-        if not w.isdecimal() and self.count("w" + w) > 2:
-            self.common.add(w)
         return False
 
     def p(self, w: str, own: bool = False) -> float:
@@ -309,12 +305,15 @@ class Model:
         marked = end in _MARK
         if marked:
             a = a.rstrip(_MARK)
-        elif end in _CLOSING or (a in self.common and b in self.common):
+        elif end in _CLOSING:
             return None
         if not a or not b or not a[-1].isalnum() or not b[0].isalnum() or a.isdecimal() or b.isdecimal():
             return None
         joined = a + b
         n = self.word(joined)
+        pair = 0.0 if marked else self.pair(a, b) + self.word(a) * self.word(b) / self.total
+        if not marked and (n or self.total * P_CONFUSION) * P_CUT <= pair:
+            return None
         if not n:
             better = self.corrected(joined)
             n = self.word(better) * P_CONFUSION if better != joined else 0.0
@@ -325,7 +324,6 @@ class Model:
                 return joined if n > whole else None
             apart = min(self.word(a), self.word(b))
             return None if apart > 0 else joined
-        pair = self.pair(a, b) + self.word(a) * self.word(b) / self.total
         return joined if n * P_CUT > pair and n > 0 else None
 
 

@@ -123,6 +123,21 @@ def test_compounds_stay():
     assert model.cut(".", "to", "gether") is None
 
 
+def test_cuts_do_not_depend_on_words_judged_before():
+    words = {"wto": 5, "wgether": 5, "wtogether": 90_000, "sto": 5, "sgetiier": 5}
+
+    class Fake(ocr.Model):
+        def __init__(self):
+            super().__init__({"cells": __import__("numpy").zeros((ocr.DEPTH, ocr.WIDTH), "float32"), "total": 1_000_000, "numbers": 0})
+
+        def count(self, key):
+            return float(words.get(key, 0))
+
+    fresh, used = Fake(), Fake()
+    assert not used.suspicious("to") and not used.suspicious("gether")
+    assert fresh.cut("o", "to", "gether") == used.cut("o", "to", "gether") == "together"
+
+
 def test_page_numbers():
     for yes in ("3", "- 3 -", "[12]", "Page 4", "Page 4 of 9", "p. 7", "xii", "Page l5"):
         assert ocr.is_page_number(yes), yes
