@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+from json.decoder import scanstring
 
 
 def _refuse(name: str):
@@ -12,6 +14,72 @@ def _refuse(name: str):
 _decode = json.JSONDecoder(parse_constant=_refuse).decode
 
 
+_SPACE = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"(?P<word>true|false|null)|(?P<int>-?(?:0|[1-9][0-9]*))(?P<frac>\.[0-9]+)?(?P<exp>[eE][-+]?[0-9]+)?")
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def _decode_deep(text: str):
+    """What the decoder gives, for values nested deeper than it can go: without recursion, but slower."""
+    open_: list = []
+    keys: list[str] = []
+    i = _SPACE.match(text).end()
+    while True:
+        # a value begins at i
+        c = text[i : i + 1]
+        if c in ("{", "["):
+            value: object = {} if c == "{" else []
+            i = _SPACE.match(text, i + 1).end()
+            if text[i : i + 1] != ("}" if c == "{" else "]"):
+                open_.append(value)
+                if c == "{":
+                    i = _key(text, i, keys)
+                continue
+            i += 1
+        elif c == '"':
+            value, i = scanstring(text, i + 1, True)
+        else:
+            found = _SCALAR.match(text, i)
+            if not found:
+                raise ValueError(i)
+            i = found.end()
+            value = _WORDS[found["word"]] if found["word"] else float(found[0]) if found["frac"] or found["exp"] else int(found[0])
+        # the value ends at i, and with it all that end there
+        while True:
+            i = _SPACE.match(text, i).end()
+            if not open_:
+                if i < len(text):
+                    raise ValueError(i)
+                return value
+            around = open_[-1]
+            if isinstance(around, dict):
+                around[keys.pop()] = value
+            else:
+                around.append(value)
+            c = text[i : i + 1]
+            if c == ",":
+                i = _SPACE.match(text, i + 1).end()
+                if isinstance(around, dict):
+                    i = _key(text, i, keys)
+                break
+            if c != ("}" if isinstance(around, dict) else "]"):
+                raise ValueError(i)
+            value = open_.pop()
+            i += 1
+
+
+def _key(text: str, i: int, keys: list[str]) -> int:
+    """Reads a key at ``i``; the place of its value."""
+    if text[i : i + 1] != '"':
+        raise ValueError(i)
+    key, i = scanstring(text, i + 1, True)
+    i = _SPACE.match(text, i).end()
+    if text[i : i + 1] != ":":
+        raise ValueError(i)
+    keys.append(key)
+    return _SPACE.match(text, i + 1).end()
+
+
 def read_json(text: str | None):
     """The object or array that a text holds; None if the text is not complete JSON or holds a single value.
 
@@ -22,8 +90,11 @@ def read_json(text: str | None):
         for _ in range(8):
             if not isinstance(value, str):
                 break
-            value = _decode(value)
-    except (ValueError, RecursionError):
+            try:
+                value = _decode(value)
+            except RecursionError:
+                value = _decode_deep(value)
+    except ValueError:
         return None
     return value if isinstance(value, (dict, list)) else None
 

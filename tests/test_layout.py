@@ -3,9 +3,10 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from quire.functions.jsontext import read_json
+from quire.functions.jsontext import _decode_deep, read_json
 from quire.operators import drift, nested
 
 DOCS = "doc_id bigint, j string, fields string, child_path string"
@@ -75,6 +76,27 @@ def test_texts_that_are_not_json(spark):
     assert read_json("null") is None
 
 
+def test_records_of_any_depth(spark):
+    deep = '{"a":' * 50_000 + "1" + "}" * 50_000
+    whole = '{"texts": [{"text": "x", "deep": ' + deep + '}, {"text": "y"}]}'
+    rng = random.Random(5)
+    for _ in range(300):
+        value = grow(rng)
+        text = json.dumps(value, indent=rng.choice([None, 1]))
+        assert _decode_deep(text) == value
+        cut = text[: rng.randint(0, len(text) - 1)] + rng.choice(["", "]", "}", ",", " x"])
+        try:
+            expected = json.loads(cut)
+        except ValueError:
+            with pytest.raises(ValueError):
+                _decode_deep(cut)
+        else:
+            assert _decode_deep(cut) == expected
+    df = spark.createDataFrame(rows([whole, whole[:-1], json.dumps(whole)]), DOCS)
+    got = sorted((r["doc_id"], r["child_path"]) for r in nested.flatten(df, "doc_id", "j", with_fields=False).select("doc_id", "child_path").collect())
+    assert got == [(i, path) for i in (0, 2) for path in ("", "/texts/0", "/texts/1")]
+
+
 def release(version, n, build):
     rng = random.Random(version)
     return [(i, version, json.dumps(build(rng, i)), None) for i in range(n)]
