@@ -71,6 +71,14 @@ def s16_update_json(spark, sf_dir):
     return store.update_json(docs, updates).select("id", F.left("docling_json", F.lit(30)).alias("head"))
 
 
+@query("s16_update_whole", "SELECT id, length(j) AS n, md5(j) AS digest FROM (SELECT id, CASE WHEN source = 'leaflet' THEN '{}' ELSE docling_json END AS j FROM documents)")
+def s16_update_whole(spark, sf_dir):
+    """Length and digest of the whole texts of which s16_update_json has the heads."""
+    docs = read_table(spark, sf_dir, "documents").select("id", "source", "docling_json")
+    updates = docs.filter("source = 'leaflet'").select("id", F.lit("{}").alias("docling_json"))
+    return store.update_json(docs, updates).select("id", F.length("docling_json").alias("n"), F.md5(F.col("docling_json").cast("binary")).alias("digest"))
+
+
 @query(
     "s18_clear_sections",
     f"WITH {S}, {C}, {B}, gone AS (SELECT id FROM documents WHERE source = 'guideline'), dead AS (SELECT id FROM s WHERE document_id IN (SELECT id FROM gone)) "
