@@ -382,12 +382,12 @@ class Reader:
 FOUND = "block_id long, document_id string, kind string, keys array<string>, around array<string>, body string"
 
 
-def scan(rows: DataFrame, sketch: dict) -> DataFrame:
+def scan(rows: DataFrame, sketch: dict, words: bool = True) -> DataFrame:
     """block_id, document_id, kind, keys, around, body.
 
     kind is 'hyphen', 'misread', 'inline' or 'furniture' where certain; 'inline?', 'furniture?' and 'heading?' with the keys
     of lines that are damage if the document has such a header, and with the words around a line that is evidence for a header itself; 'header' with the keys of a typed header; 'passage?' with
-    the text of a block whose words can be judged only when it is known which of its lines are headers.
+    the text of a block whose words can be judged only when it is known which of its lines are headers.  Without ``words`` only headers and page numbers are looked for.
     """
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
 
@@ -422,6 +422,8 @@ def scan(rows: DataFrame, sketch: dict) -> DataFrame:
                 for k in headers:
                     # the lines of a key-value block are its fields
                     add(block, doc, "inline?", header_keys(lines[k]), None if kind == "key_value_item" else around(lines, k, block))
+                if not words:
+                    continue
                 if headers:
                     add(block, doc, "passage?", body=text.as_py())
                     continue
@@ -518,7 +520,7 @@ def repaired(blocks: DataFrame) -> DataFrame:
     """
     rows = text_blocks(blocks, "page_number").filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer"))
     sketch = learn(text_blocks(blocks))
-    headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), sketch).filter("kind <> 'passage?'")))
+    headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), sketch, words=False)))
     lines = asked.join(headers, ["document_id", "key"], "left_semi").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
 
