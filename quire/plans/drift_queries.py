@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.operators import drift, nested
+from quire.plans.materialize import materialize
 from quire.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -27,15 +31,50 @@ READ = """once AS (SELECT doc_id, docling_json AS j FROM documents WHERE json_va
 )
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nested object with its parent."""
-    rows = nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json", with_fields=False)
+    rows = nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json")
     return rows.filter("child_path <> ''").select("doc_id", "parent_path", "child_path")
 
 
-@query("p6_fields")
+#: Fields by the paths of a tree of values: scalars, arrays that hold nothing but scalars, and empty objects.
+FIELDS = f"""WITH {READ}, t AS (SELECT regexp_replace(substr(x.fullkey, 3), '\\[\\d+\\]', '[]', 'g') AS p, x.type, x.value FROM d, json_tree(d.j) x),
+    f AS (SELECT p, CASE WHEN type = 'VARCHAR' THEN 's' WHEN type IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 'i' WHEN type = 'DOUBLE' THEN 'n' WHEN type = 'BOOLEAN' THEN 'b' WHEN type = 'NULL' THEN '0' WHEN type = 'ARRAY' THEN 'a' ELSE 'o' END AS kind
+          FROM t WHERE NOT ends_with(p, ']') AND p <> '' AND CASE type WHEN 'OBJECT' THEN value::VARCHAR = '{{}}' WHEN 'ARRAY' THEN NOT list_bool_or(coalesce(list_transform(json_extract(value, '$[*]'), lambda e: json_type(e) IN ('OBJECT', 'ARRAY')), []) || [false]) ELSE true END)
+    SELECT regexp_extract(p, '^(.*\\[\\])\\.[^\\[\\]]+$', 1) AS table_path, regexp_extract(p, '^(?:.*\\[\\]\\.)?([^\\[\\]]+)$', 1) AS field, kind, count(*) AS n_values FROM f GROUP BY ALL"""
+
+
+@query("p6_fields", FIELDS)
 def p6_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue of the flat tables: their fields and the types of these."""
     return nested.table_fields(nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json"))
 
 
+@query(
+    "p6_tables",
+    f"""WITH {READ}, t AS (SELECT doc_id, x.fullkey, regexp_replace(substr(x.fullkey, 3), '\\[\\d+\\]', '[]', 'g') AS p FROM d, json_tree(d.j) x WHERE x.type = 'OBJECT' AND (regexp_matches(x.fullkey, '\\]$') OR x.fullkey = '$'))
+    SELECT p AS table_path, count(*) AS n_rows, count(DISTINCT doc_id) AS n_records FROM t GROUP BY p""",
+)
+def p6_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and records of each flat table, counted over the tables themselves."""
+    nodes = materialize(nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json"))
+    parts = [t.agg(F.count("*").alias("n_rows"), F.countDistinct("doc_id").alias("n_records")).select(F.lit(path).alias("table_path"), "n_rows", "n_records") for path, t in nested.flat_tables(nodes).items()]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], "table_path string, n_rows long, n_records long"))
+
+
+@query(
+    "p6_provenance",
+    f"""WITH {READ}, e AS (SELECT doc_id, i, json_extract(j, '$.texts[' || i || ']') AS e FROM (SELECT doc_id, j, unnest(range(json_array_length(j, '$.texts')::BIGINT)) AS i FROM d)),
+    p AS (SELECT doc_id, i, k, json_extract(e, '$.prov[' || k || ']') AS p FROM (SELECT *, unnest(range(json_array_length(e, '$.prov')::BIGINT)) AS k FROM e))
+    SELECT doc_id, '/texts/' || i || '/prov/' || k AS child_path, '/texts/' || i AS parent_path, k::INTEGER AS ordinal, coalesce(p->>'$.page_no', p->>'$.page')::BIGINT AS page, try_cast(p->>'$.bbox.l' AS DOUBLE) AS bbox_l FROM p WHERE json_type(p) = 'OBJECT'""",
+)
+def p6_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of the flat tables whose columns come from the catalogue, two levels below the record."""
+    nodes = materialize(nested.flatten(nested.layout_documents(spark, sf_dir), "doc_id", "docling_json"))
+    path = "texts[].prov[]"
+    rows = nested.flat_tables(nodes).get(path, nested.flat_table(nodes, path, {}))
+    page, left = (F.coalesce(*[F.col(c) for c in names if c in rows.columns], F.lit(None).cast(kind)) for names, kind in ((("page_no", "page"), "long"), (("bbox_l",), "double")))
+    return rows.select("doc_id", "child_path", "parent_path", "ordinal", page.alias("page"), left.alias("bbox_l"))
+
+
 @query(
     "p6_texts",
     f"""

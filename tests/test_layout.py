@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions.jsontext import _decode_deep, read_json
+from quire.functions.jsontext import OPEN, RETRACT, _decode_deep, read_json, triples
 from quire.operators import drift, nested
 
 DOCS = "doc_id bigint, j string, fields string, child_path string"
@@ -63,15 +63,65 @@ def test_fields_come_back(spark):
         "/texts/3": ("texts[]", "", 3, {"id": None, "deep.x": "true"}),
     }
     nodes = nested.flatten(df, "doc_id", "j")
+    assert {r["child_path"]: r["kinds"] for r in nodes.collect()} == {"": "sis", "/texts/0": "s", "/texts/0/prov/0": "ia", "/texts/1": "", "/texts/3": "0b"}
     typed = nested.table(nodes, "texts[].prov[]", {"n": "int", "box": "string", "none": "double"}).first()
     assert (typed["parent_path"], typed["n"], typed["none"]) == ("/texts/0", 1, None)
-    assert {(r[0], r[1]): r[2] for r in nested.table_fields(nodes).collect()}["texts[]", "id"] == 1
+    assert {tuple(r) for r in nested.table_fields(nodes).filter("table_path = 'texts[]'").collect()} == {("texts[]", "id", "s", 1), ("texts[]", "id", "0", 1), ("texts[]", "deep.x", "b", 1)}
+    tables = nested.flat_tables(nodes)
+    assert set(tables) == {"", "texts[]", "texts[].prov[]"}
+    assert dict(tables["texts[].prov[]"].dtypes) == {"doc_id": "bigint", "child_path": "string", "parent_path": "string", "ordinal": "int", "n": "bigint", "box": "string", "rest": "map<string,string>"}
+    assert [(r["id"], r["deep_x"], r["rest"]) for r in tables["texts[]"].orderBy("ordinal").collect()] == [("a", None, {}), (None, None, {}), (None, True, {})]
+    assert nested.links(tables).count() == 4
+
+
+def test_columns_of_flat_tables(spark):
+    docs = [{"a": [{"x": 1, "X": "u", "doc_id": 5, "y.z": 1.5, "y": {"z": 2}, f"rare {i}": i} for i in range(3)]}, {"a": [{"x": 2.5, "doc_id": "s"}]}]
+    nodes = nested.flatten(spark.createDataFrame(rows([json.dumps(d) for d in docs]), DOCS), "doc_id", "j")
+    t = nested.flat_tables(nodes, least=0.5)["a[]"]
+    # the path y.z stands for a field of that name and for one of an object: of one key read twice the last counts
+    assert dict(t.dtypes) == {"doc_id": "bigint", "child_path": "string", "parent_path": "string", "ordinal": "int", "X": "string", "doc_id_2": "string", "x_2": "double", "y_z": "bigint", "rest": "map<string,string>"}
+    assert {r["child_path"]: (r["doc_id"], r["x_2"], r["doc_id_2"], r["rest"]) for r in t.collect()} == {
+        **{f"/a/{i}": (0, 1.0, "5", {f"rare {i}": f"{i}"}) for i in range(3) if i}, "/a/0": (0, 1.0, "5", {"rare 0": "0"}),
+    } | {r["child_path"]: (r["doc_id"], r["x_2"], r["doc_id_2"], r["rest"]) for r in t.filter("doc_id = 1").collect()}
+
+
+def test_streamed_triples():
+    out = list(triples('{"a": {"k": [1, {"v": [2, [3, {"w": null}]]}, "s"]}, "b": {}, "c": []}'))
+    assert [t for t in out if t[4] == OPEN] == [("", "", "", None, OPEN, None), ("a.k[]", "/a/k/1", "", 1, OPEN, ""), ("a.k[].v[][]", "/a/k/1/v/1/1", "", 1, OPEN, "/a/k/1")]
+    assert [t[1:] for t in out if t[4] != OPEN] == [
+        ("", "a.k[0]", 0, "i", "1"), ("/a/k/1", "v[0]", 0, "i", "2"), ("/a/k/1", "v[1][0]", 0, "i", "3"), ("/a/k/1/v/1/1", "w", None, "0", None), ("", "a.k[2]", 2, "s", "s"), ("", "b", None, "o", "{}"), ("", "c", None, "a", "[]"),
+    ]
+
+
+def test_repeated_keys_and_lone_surrogates(spark):
+    values = ['{"a": [{"x": 1}, {}], "b": 1, "a": [{"y": "\\ud800z"}], "b": {"c": 2}, "b": 3}', '["\\ud83d\\ude00", "\\ud83d"]']
+    df = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(values)], "key string, j string")
+    got = {(r["doc_id"], r["child_path"]): r["fields"] for r in nested.flatten(df, "key", "j").collect()}
+    assert got == {("k0", ""): {"b": "3"}, ("k0", "/a/0"): {"y": "\ufffdz"}, ("k1", ""): {"[]": values[1]}}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_stream_agrees_with_the_tree(seed):
+    rng = random.Random(seed)
+    for _ in range(500):
+        text = json.dumps(grow(rng), indent=rng.choice([None, 1]))
+        cut = rng.randint(0, len(text))
+        for whole in (text, json.dumps(text), text[:cut], text[:cut] + rng.choice('[]{},:"0\\ ') + text[cut + rng.randint(0, 1) :]):
+            tree = read_json(whole)
+            try:
+                found = list(triples(whole))
+            except ValueError:
+                assert tree is None, whole
+            else:
+                assert tree is not None, whole
+                if not any(t[4] == RETRACT for t in found):
+                    assert sorted((t[5], t[1]) for t in found if t[4] == OPEN and t[1]) == sorted(brute(tree))
 
 
 def test_texts_that_are_not_json(spark):
     values = [None, "", "x", '{"a": [{}', '{"a": NaN}', "3", '"text"', json.dumps(json.dumps([{"a": 1}])), "[" * 5000]
     got = [r["doc_id"] for r in nested.flatten(spark.createDataFrame(rows(values), DOCS), "doc_id", "j").collect()]
-    assert got == [7]
+    assert got == [7, 7]  # the list and its object
     assert nested.flatten(spark.createDataFrame([], DOCS), "doc_id", "j").count() == 0
     assert read_json("null") is None
 
@@ -93,7 +143,7 @@ def test_records_of_any_depth(spark):
         else:
             assert _decode_deep(cut) == expected
     df = spark.createDataFrame(rows([whole, whole[:-1], json.dumps(whole)]), DOCS)
-    got = sorted((r["doc_id"], r["child_path"]) for r in nested.flatten(df, "doc_id", "j", with_fields=False).select("doc_id", "child_path").collect())
+    got = sorted((r["doc_id"], r["child_path"]) for r in nested.flatten(df, "doc_id", "j").select("doc_id", "child_path").collect())
     assert got == [(i, path) for i in (0, 2) for path in ("", "/texts/0", "/texts/1")]
 
 
