@@ -1,25 +1,29 @@
 """Collapsing records that differ only in formatting.
 
-A record is a tree: a text is one leaf, a key-value block an unordered node whose leaves are its fields.  Leaves
-are normalised and digested, the children's digests of an unordered node are sorted, and a node's digest covers
-its kind and its children.  Records are grouped by root digest, and groups are confirmed by comparing the whole
-normalised structures; structures that share a digest without being equal are kept apart by a longer one.
-
-Everything is built from JVM expressions.  Groups are reduced before the shuffle, so a passage that a third of
-all rows repeat costs one row per task and salt.  Where copies are listed, the classes that hold a thousandth of
-all rows or more (a thousand at most, by counting) are joined by broadcast and the others by shuffle.
+A record is a tree whose leaves are texts: a plain text is one leaf, a key-value block an unordered node whose
+leaves are its fields, and structs, arrays and maps are nodes of any depth.  Leaves are normalised and digested
+bottom-up, a node's digest covers its kind and its children's digests, sorted where their order doesn't count.
+Records are grouped by root digest; where a digest has more than one record, their whole normalised structures are
+compared, and structures that share a digest without being equal are kept apart.
+
+Texts are normalised once and only ids and digests are shuffled, combined per task before.  Whole structures are
+built and shuffled only for records whose digest is shared, each different one once per task.  Everything is built
+from JVM expressions.  Classes that hold a thousandth of all rows (a thousand classes at most, by counting) are
+joined by broadcast where copies are listed, the others by shuffle.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.whitespace import LINE_ENDS, char_class
 from quire.plans.materialize import join_checked, materialize, spread
 
 HOT_SHARE = 0.001
-SALTS = 64
 
 #: Invisible characters that count as nothing: zero width space, byte order mark, soft hyphen.
 INVISIBLE = char_class(((0x200B, 0x200B), (0xFEFF, 0xFEFF), (0xAD, 0xAD)))
@@ -27,7 +31,13 @@ INVISIBLE = char_class(((0x200B, 0x200B), (0xFEFF, 0xFEFF), (0xAD, 0xAD)))
 DROPPED = rf"(?U)[\s\p{{P}}{INVISIBLE}&&[^.,/:]]++|(?<!\p{{Nd}})[.,/:]|[.,/:](?!\p{{Nd}})"
 FIELD_END = f"[;|{LINE_ENDS}]"
 ALNUM = r"[\p{L}\p{Nd}]"
-SEPARATOR = "\u0000"
+
+
+class Node(NamedTuple):
+    """Two views of a record or a part of one: its whole normalised structure, and its digest as hex digits."""
+
+    whole: Column
+    digest: Column
 
 
 def leaf(text: Column) -> Column:
@@ -35,17 +45,34 @@ def leaf(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, DROPPED, ""))
 
 
-def structure(text: Column, unordered: Column) -> Column:
-    """The whole normalised record as one string: its kind, then its leaves, those of an unordered node sorted."""
+def text_or_fields(text: Column, unordered: Column) -> Node:
+    """A text as one leaf, or as the unordered node of its non-empty fields."""
     fields = F.array_sort(F.filter(F.transform(F.split(text, FIELD_END), leaf), lambda x: x != ""))
-    return F.when(unordered, F.concat(F.lit("f"), F.array_join(fields, SEPARATOR))).otherwise(F.concat(F.lit("t"), leaf(text)))
+    kind = F.when(unordered, "u").otherwise("t")
+    leaves = F.when(unordered, fields).otherwise(F.array(leaf(text)))
+    return Node(F.struct(kind.alias("kind"), leaves.alias("leaves")), F.md5(F.concat(kind, F.array_join(F.array_sort(F.transform(leaves, F.md5)), ""))))
+
 
+def tree(value: Column, kind: T.DataType, ordered: bool = True) -> Node:
+    """A nested value as a node: structs by the names of their fields, maps by their keys, arrays in order unless ``ordered`` is false.
 
-def root_digest(canon: Column) -> Column:
-    """Digest of a node over its kind and the sorted digests of its children."""
-    kind, leaves = F.substr(canon, F.lit(1), F.lit(1)), F.substr(canon, F.lit(2))
-    children = F.array_join(F.array_sort(F.transform(F.split(leaves, SEPARATOR), F.md5)), "")
-    return F.unhex(F.md5(F.concat(kind, F.when(kind == "f", children).otherwise(F.md5(leaves)))))
+    Null and empty are different leaves; numbers and other scalars are leaves by their text.
+    """
+    if isinstance(kind, T.StructType):
+        parts = {f.name: tree(value.getField(f.name), f.dataType, ordered) for f in sorted(kind, key=lambda f: f.name)}
+        whole = F.struct(*[p.whole.alias(f"f{i}") for i, p in enumerate(parts.values())])
+        digest = F.md5(F.concat(F.lit("s"), *[x for name, p in parts.items() for x in (F.md5(F.lit(name)), p.digest)]))
+    elif isinstance(kind, T.ArrayType):
+        wholes, digests = F.transform(value, lambda x: tree(x, kind.elementType, ordered).whole), F.transform(value, lambda x: tree(x, kind.elementType, ordered).digest)
+        whole = wholes if ordered else F.array_sort(wholes)
+        digest = F.md5(F.concat(F.lit("o" if ordered else "u"), F.array_join(digests if ordered else F.array_sort(digests), "")))
+    elif isinstance(kind, T.MapType):
+        pair = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        return tree(F.map_entries(value), T.ArrayType(pair), ordered=False)
+    else:
+        whole = leaf(value.cast("string"))
+        digest = F.md5(F.concat(F.lit("t"), whole))
+    return Node(F.when(value.isNotNull(), whole), F.when(value.isNotNull(), digest).otherwise(F.md5(F.lit("n"))))
 
 
 def has_alnum(text: Column, least: int) -> Column:
@@ -55,74 +82,79 @@ def has_alnum(text: Column, least: int) -> Column:
     return (F.length(text) >= least) & text.rlike(rf"\A(?:[^\p{{L}}\p{{Nd}}]*+{ALNUM}){{{least}}}")
 
 
-def records(df: DataFrame, key: str, text: str, unordered: Column, min_alnum: int) -> DataFrame:
-    """item_id, body, digest, canon of the rows that count; canon is the whole normalised structure."""
-    rows = df.select(F.col(key).alias("item_id"), F.col(text).alias("body"), F.coalesce(unordered, F.lit(False)).alias("fields"))
-    rows = rows.filter(F.col("body").isNotNull() & F.col("item_id").isNotNull())
-    if min_alnum:
-        rows = rows.filter(has_alnum(F.col("body"), min_alnum))
-    rows = rows.select("item_id", "body", structure(F.col("body"), F.col("fields")).alias("canon"))
-    return rows.select("item_id", "body", root_digest(F.col("canon")).alias("digest"), "canon")
+class Records(NamedTuple):
+    """What the classes are made from."""
 
+    #: item_id, h (hash of the record as it is) and body of every row that counts
+    rows: DataFrame
+    #: item_id, h, class_key of the rows whose digest another row has, too
+    shared: DataFrame
 
-def unequal(rows: DataFrame) -> DataFrame:
-    """digest: those behind which the comparison of whole structures finds more than one."""
-    return rows.groupBy("digest", "canon").agg(F.lit(1).alias("one")).groupBy("digest").count().filter("count > 1").select("digest", F.lit(True).alias("split"))
 
+def classes(df: DataFrame, key: str, body: str, node: Node, counts: Column | None = None) -> Records:
+    """Digests of all records, and classes of those whose digest occurs more than once.
 
-def keyed(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``class_key``: the digest, or a longer one where the structures behind it differ."""
-    apart = materialize(unequal(rows))
-    longer = F.concat("digest", F.unhex(F.sha2("canon", 512)))
-    return join_checked(rows, apart, ["digest"], "left", 64).withColumn("class_key", F.when(F.col("split"), longer).otherwise(F.col("digest")))
-
-
-def collapse(df: DataFrame, key: str, text: str, unordered: Column, min_alnum: int = 0) -> DataFrame:
+    ``class_key`` is the digest; where the comparison of whole structures finds several behind one digest, it is
+    the digest with a number for each structure.
+    """
+    rows = df.select(F.col(key).alias("item_id"), F.xxhash64(body).alias("h"), F.col(body).alias("body"), node.whole.alias("whole"), F.unhex(node.digest).alias("digest"), (counts if counts is not None else F.lit(True)).alias("counts"))
+    rows = rows.filter("body IS NOT NULL AND item_id IS NOT NULL AND counts").drop("counts")
+    ids = materialize(rows.select("item_id", "h", "digest"))
+    several = materialize(ids.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
+    same = materialize(join_checked(ids, several, ["digest"], "inner", 48).select("item_id", "h", "digest").distinct())
+    # whole structures, of the rows in question only
+    asked = join_checked(rows.drop("digest"), same, ["item_id", "h"], "inner", 64)
+    structures = asked.groupBy("digest", "whole").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("*").alias("n"))
+    apart = materialize(structures.filter("n > 1").select("digest"))
+    shared = same.withColumn("class_key", F.col("digest"))
+    if apart.limit(1).count():
+        # digests that collided: their structures are numbered, whatever these rows cost
+        few = asked.join(apart, "digest", "left_semi")
+        number = few.select("digest", "whole").distinct().groupBy("digest").agg(F.array_sort(F.collect_set("whole")).alias("all"))  # structures of one digest that collide
+        keys = few.join(number, "digest").select("item_id", "h", "digest", F.concat("digest", F.encode(F.array_position("all", F.col("whole")).cast("string"), "UTF-8")).alias("key")).distinct()
+        shared = same.join(keys, ["item_id", "h", "digest"], "left").select("item_id", "h", "digest", F.coalesce("key", "digest").alias("class_key"))
+    return Records(rows.select("item_id", "h", "body"), shared.select("item_id", "h", "class_key"))
+
+
+def collapse(df: DataFrame, key: str, body: str, node: Node, counts: Column | None = None) -> DataFrame:
     """first_id, n_items, passage: one row per distinct record with the number of different ids that hold it.
 
-    ``passage`` is the text of the record's smallest id.  Null texts and null keys give no row; texts that are
-    empty or of white space and punctuation only are equal to each other.  An id in several rows counts once.
+    ``passage`` is the ``body`` of the record's smallest id (the smallest body of several).  Null bodies and null keys
+    give no row; texts that are empty or of white space and punctuation only are equal to each other.  An id in several
+    rows counts once per record.  Records that no other row shares pass through without a shuffle.
     """
-    rows = keyed(records(df, key, text, unordered, min_alnum))
-    ids = rows.groupBy("class_key", "item_id").agg(F.min("body").alias("body"))
-    return (
-        ids.groupBy("class_key", F.pmod(F.xxhash64("item_id"), F.lit(SALTS)).alias("salt"))
-        .agg(F.min(F.struct("item_id", "body")).alias("first"), F.count("*").alias("n"))
-        .groupBy("class_key")
-        .agg(F.min("first").alias("first"), F.sum("n").alias("n_items"))
-        .select(F.col("first.item_id").alias("first_id"), "n_items", F.col("first.body").alias("passage"))
-    )
-
-
-def copies(df: DataFrame, key: str, text: str, unordered: Column, min_alnum: int = 50) -> DataFrame:
+    held = classes(df, key, body, node, counts)
+    marked = join_checked(held.rows, held.shared, ["item_id", "h"], "left", 96)
+    alone = marked.filter("class_key IS NULL").select(F.col("item_id").alias("first_id"), F.lit(1).cast("long").alias("n_items"), F.col("body").alias("passage"))
+    numbers = held.shared.select("class_key", "item_id").distinct().groupBy("class_key").agg(F.count("*").alias("n_items"))
+    first = marked.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min(F.struct("item_id", "body")).alias("first"))
+    return alone.unionByName(first.join(numbers, "class_key").select(F.col("first.item_id").alias("first_id"), "n_items", F.col("first.body").alias("passage")))
+
+
+def copies(df: DataFrame, key: str, body: str, node: Node, counts: Column | None = None) -> DataFrame:
     """first_id, copy_id: for every class of equal records its smallest id with each other id.
 
-    Records with fewer than ``min_alnum`` letters and digits do not count, nor do null texts and null keys.  An
-    id in several rows counts once.
+    Rows for which ``counts`` is not true don't count, nor do null bodies and null keys.  An id in several rows
+    counts once.
     """
-    ids = materialize(keyed(records(df, key, text, unordered, min_alnum)).select("item_id", "class_key").distinct())
-    classes = materialize(
-        ids.groupBy("class_key", F.pmod(F.xxhash64("item_id"), F.lit(SALTS)).alias("salt"))
-        .agg(F.min("item_id").alias("first_id"), F.count("*").alias("n"))
-        .groupBy("class_key")
-        .agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n"))
-        .filter("n > 1")
-    )
+    held = classes(df, key, body, node, counts)
+    ids = materialize(held.shared.select("item_id", "class_key").distinct())
+    firsts = materialize(ids.groupBy("class_key").agg(F.min("item_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1"))
     hot = max(2, int(HOT_SHARE * ids.count()))
-    few, many = classes.filter(F.col("n") >= hot), classes.filter(F.col("n") < hot)
+    few, many = firsts.filter(F.col("n") >= hot), firsts.filter(F.col("n") < hot)
     pairs = ids.join(F.broadcast(few), "class_key").unionByName(ids.join(many, "class_key"))
     return pairs.filter("item_id > first_id").select("first_id", F.col("item_id").alias("copy_id"))
 
 
-def _blocks(spark, sf_dir: str) -> tuple[DataFrame, str, str, Column]:
+def _blocks(spark, sf_dir: str) -> tuple[DataFrame, str, str, Node]:
     from quire.sources.tables import read_table
 
     blocks = spread(read_table(spark, sf_dir, "raw_blocks").select("id", "text_content", "block_type"))
-    return blocks, "id", "text_content", F.col("block_type") == "key_value_item"
+    return blocks, "id", "text_content", text_or_fields(F.col("text_content"), F.coalesce(F.col("block_type") == "key_value_item", F.lit(False)))
 
 
 def block_copies(spark, sf_dir: str) -> DataFrame:
-    return copies(*_blocks(spark, sf_dir))
+    return copies(*_blocks(spark, sf_dir), has_alnum(F.col("text_content"), 50))
 
 
 def block_passages(spark, sf_dir: str) -> DataFrame:

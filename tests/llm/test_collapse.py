@@ -33,6 +33,10 @@ def table(spark, rows):
     return spark.createDataFrame([(i, t, k, "x", "y") for i, t, k in rows], BLOCKS)
 
 
+def node(unordered=None):
+    return collapse.text_or_fields(F.col("text"), F.lit(False) if unordered is None else F.coalesce(unordered, F.lit(False)))
+
+
 def classes(rows, least):
     held = {}
     for i, t, k in rows:
@@ -57,32 +61,60 @@ def test_copies_like_direct_reading(spark):
     rows = cases()
     df = table(spark, rows)
     for least in (0, 12):
-        got = {tuple(r) for r in collapse.copies(df, "id", "text", F.col("kind") == "kv", least).collect()}
+        got = {tuple(r) for r in collapse.copies(df, "id", "text", node(F.col("kind") == "kv"), collapse.has_alnum(F.col("text"), least) if least else None).collect()}
         assert got == {(min(c), i) for c in classes(rows, least) for i in c if i != min(c)}
 
 
 def test_passages(spark):
     rows = cases()
-    got = {r["first_id"]: r["n_items"] for r in collapse.collapse(table(spark, rows), "id", "text", F.col("kind") == "kv").collect()}
+    got = {r["first_id"]: r["n_items"] for r in collapse.collapse(table(spark, rows), "id", "text", node(F.col("kind") == "kv")).collect()}
     assert got == {min(c): len(c) for c in classes(rows, 0)}
 
 
 def test_one_class_holds_most_rows(spark):
     rows = [(i, "Same Passage" if i % 3 else f"other {i}", "text") for i in range(3000)]
-    got = collapse.copies(table(spark, rows), "id", "text", F.lit(False), 0)
+    got = collapse.copies(table(spark, rows), "id", "text", node())
     assert got.count() == 1999 and got.select("first_id").distinct().count() == 1
 
 
-def test_digests_that_collide_are_told_apart(spark, monkeypatch):
-    monkeypatch.setattr(collapse, "root_digest", lambda canon: F.unhex(F.md5(F.substr(canon, F.lit(1), F.lit(2)))))
-    rows = [(1, "ab", "t"), (2, "AB", "t"), (3, "ac", "t"), (4, "a c", "t"), (5, "zz", "t")]
+def test_digests_that_collide_are_told_apart(spark):
+    rows = [(1, "ab", "t"), (2, "AB", "t"), (3, "ac", "t"), (4, "a c", "t"), (5, "zz", "t"), (5, "Z z", "t"), (6, "ad", "t")]
     df = table(spark, rows)
-    assert {tuple(r) for r in collapse.copies(df, "id", "text", F.lit(False), 0).collect()} == {(1, 2), (3, 4)}
-    assert {r["first_id"]: r["n_items"] for r in collapse.collapse(df, "id", "text", F.lit(False)).collect()} == {1: 2, 3: 2, 5: 1}
+    poor = node()._replace(digest=F.md5(F.substr(collapse.leaf(F.col("text")), F.lit(1), F.lit(1))))
+    assert {tuple(r) for r in collapse.copies(df, "id", "text", poor).collect()} == {(1, 2), (3, 4)}
+    got = {r["first_id"]: (r["n_items"], r["passage"]) for r in collapse.collapse(df, "id", "text", poor).collect()}
+    assert got == {1: (2, "ab"), 3: (2, "ac"), 5: (1, "Z z"), 6: (1, "ad")}
+
+
+def test_separators_within_fields(spark):
+    """A field that holds U+0000 or digits like a length is still one field."""
+    rows = [(1, "alpha beta\0delta", "kv"), (2, "delta; alpha beta", "kv"), (3, "Delta;; ALPHA-beta", "kv"), (4, "deltaalphabeta", "kv"), (5, "delta alpha beta", "t")]
+    got = {tuple(r) for r in collapse.copies(table(spark, rows), "id", "text", node(F.col("kind") == "kv")).collect()}
+    assert got == {(2, 3)}
+
+
+def test_nested_records(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("id string, r struct<name: string, tags: array<string>, more: map<string, struct<v: double, w: array<string>>>>")
+    rows = [
+        ("a", ("One, two", ["x", "Y"], {"k": (1.5, ["p"]), "l": (None, [])})),
+        ("b", ("ONE TWO", ["Y ", "x"], {"L": (None, []), "k": (1.5, ["P."])})),
+        ("c", ("one two", ["x", "y"], {"k": (15.0, ["p"]), "l": (None, [])})),
+        ("d", ("one two", ["x", "y"], {"k": (1.5, ["p"]), "l": (None, None)})),
+        ("e", ("onetwo", ["xy"], {"k": (1.5, ["p"]), "l": (None, [])})),
+        ("f", (None, None, None)), ("g", (None, None, None)), ("h", ("", None, None)), ("i", None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+
+    def got(ordered):
+        return {tuple(r) for r in collapse.copies(df, "id", "r", collapse.tree(F.col("r"), schema["r"].dataType, ordered)).collect()}
+
+    assert got(ordered=False) == {("a", "b"), ("f", "g")} and got(ordered=True) == {("f", "g")}
 
 
 def test_nothing_and_long(spark):
-    assert collapse.copies(table(spark, []), "id", "text", F.lit(False)).count() == 0
-    assert collapse.collapse(table(spark, []), "id", "text", F.lit(False)).count() == 0
+    assert collapse.copies(table(spark, []), "id", "text", node()).count() == 0
+    assert collapse.collapse(table(spark, []), "id", "text", node()).count() == 0
     long = "word " * 200_000
-    assert [tuple(r) for r in collapse.copies(table(spark, [(1, long, "t"), (2, long.upper(), "t")]), "id", "text", F.lit(False)).collect()] == [(1, 2)]
+    assert [tuple(r) for r in collapse.copies(table(spark, [(1, long, "t"), (2, long.upper(), "t")]), "id", "text", node()).collect()] == [(1, 2)]
