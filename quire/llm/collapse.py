@@ -97,7 +97,9 @@ def classes(df: DataFrame, key: str, body: str, node: Node, counts: Column | Non
     ``class_key`` is the digest; where the comparison of whole structures finds several behind one digest, it is
     the digest with a number for each structure.
     """
-    rows = df.select(F.col(key).alias("item_id"), F.xxhash64(body).alias("h"), F.col(body).alias("body"), node.whole.alias("whole"), F.unhex(node.digest).alias("digest"), (counts if counts is not None else F.lit(True)).alias("counts"))
+    flat = isinstance(df.schema[body].dataType, T.AtomicType)
+    raw = F.xxhash64(F.col(body) if flat else F.to_json(F.struct(body)))  # tells apart the rows of one id
+    rows = df.select(F.col(key).alias("item_id"), raw.alias("h"), F.col(body).alias("body"), node.whole.alias("whole"), F.unhex(node.digest).alias("digest"), (counts if counts is not None else F.lit(True)).alias("counts"))
     rows = rows.filter("body IS NOT NULL AND item_id IS NOT NULL AND counts").drop("counts")
     ids = materialize(rows.select("item_id", "h", "digest"))
     several = materialize(ids.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
