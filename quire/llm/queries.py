@@ -44,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_passages": collapse.block_passages,
         "p7_found": decontaminate.document_leaks,
         "p7_cleaned": decontaminate.documents_without_leaks,
+        "p7_spans": lambda spark, sf_dir: decontaminate.documents_without_leaks(spark, sf_dir).select("doc_id", "n_spans"),
         "p8_mix": mixing.document_mix,
         "p8_shares": mixing.document_mix_shares,
         "p8_full_shares": mixing.document_full_shares,
@@ -77,8 +78,17 @@ def _records(min_alnum: int) -> str:
     return f"records AS (SELECT DISTINCT id, text_content, {canon} AS canon FROM raw_blocks WHERE text_content IS NOT NULL {enough})"
 
 
+#: Windows of 13 words of documents and items; the words by the accents that SQL can strip, which are those of these texts.
+WINDOWS = """words AS (SELECT 'd' AS side, doc_id AS k, regexp_extract_all(lower(strip_accents(text)), '[\\p{L}\\p{Nd}]+') AS w FROM documents UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(strip_accents(text)), '[\\p{L}\\p{Nd}]+') FROM eval_items),
+    places AS (SELECT side, k, w, unnest(range(len(w) - 12)) AS i FROM words WHERE len(w) > 12), windows AS (SELECT side, k, i, array_to_string(w[i + 1 : i + 13], ' ') AS g FROM places),
+    hits AS (SELECT DISTINCT d.k AS doc_id, e.k AS item_id, d.i FROM windows d JOIN windows e ON d.g = e.g WHERE d.side = 'd' AND e.side = 'i')"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p7_found": f"WITH {WINDOWS} SELECT DISTINCT doc_id, item_id FROM hits",
+        "p7_spans": f"""WITH {WINDOWS}, steps AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM (SELECT DISTINCT doc_id, i FROM hits)),
+            spans AS (SELECT doc_id, count(*) FILTER (WHERE before IS NULL OR i - before > 12) AS n FROM steps GROUP BY doc_id) SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n_spans FROM documents d LEFT JOIN spans s USING (doc_id)""",
         "p1_found": f"WITH {ITEMS} SELECT item_table, item_id FROM items WHERE {_tokens('body')} > 2000",
         "p2_placed": f"SELECT id, sum(n_tokens)::BIGINT AS n_tokens FROM (SELECT DISTINCT id, content, {_tokens('content')} AS n_tokens FROM parent_chunks WHERE content IS NOT NULL) GROUP BY id",
         "p5_found": f"WITH {_records(50)}, k AS (SELECT DISTINCT id, canon FROM records), c AS (SELECT canon, min(id) AS first_id FROM k GROUP BY canon) SELECT c.first_id, k.id AS copy_id FROM k JOIN c ON k.canon = c.canon WHERE k.id > c.first_id",

@@ -56,13 +56,29 @@ def tables(spark, docs, items):
     )
 
 
-def test_both_ways_like_brute_force(spark):
+def test_in_one_part_and_many_like_brute_force(spark):
     docs, items = cases()
     args = tables(spark, docs, items)
     expected = brute(docs, items, 5)
     assert expected
     assert {tuple(r) for r in leaked(*args, n=5).collect()} == expected
-    assert {tuple(r) for r in leaked(*args, n=5, broadcast_words=1).collect()} == expected
+    assert {tuple(r) for r in leaked(*args, n=5, part_words=60).collect()} == expected
+    whole, parts = ({r["doc_id"]: (r["n_spans"], r["text"]) for r in without_leaks(*args, n=5, **more).collect()} for more in ({}, {"part_words": 60}))
+    assert whole == parts and any(n for n, _ in whole.values())
+
+
+def test_keys_of_any_type_and_repeated_keys(spark):
+    item = "one two three four five"
+    docs = spark.createDataFrame([("a", f"x {item}"), ("a", "other"), ("a", f"x {item}"), (None, f"{item} y"), ("", "z")], "k string, t string")
+    items = spark.createDataFrame([("i", item), (None, item), ("i", None)], "k string, t string")
+    assert sorted(map(tuple, leaked(docs, "k", "t", items, "k", "t", n=4).collect()), key=str) == [("a", "i"), (None, "i")]
+    assert sorted(map(tuple, without_leaks(docs, "k", "t", items, "k", "t", n=4).collect()), key=str) == [("", 0, "z"), ("a", 0, "other"), ("a", 1, "x "), ("a", 1, "x "), (None, 1, " y")]
+
+
+def test_items_longer_than_a_part(spark):
+    item = " ".join(f"w{i}" for i in range(300))
+    docs = [(a, " ".join(f"w{i}" for i in range(a, a + 13))) for a in range(0, 288, 7)]
+    assert {tuple(r) for r in leaked(*tables(spark, docs, [(1, item)]), part_words=80).collect()} == {(a, 1) for a, _ in docs}
 
 
 def test_words_like_definition():
