@@ -48,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_mix": mixing.document_mix,
         "p8_shares": mixing.document_mix_shares,
         "p8_full_shares": mixing.document_full_shares,
+        "p8_exact_shares": mixing.document_exact_shares,
         "p9_found": language.documents_found,
         "p9_segments": language.document_segments,
     }
