@@ -3,7 +3,7 @@
 A paragraph is compressed once per language with a zstandard dictionary that holds raw sample text of that
 language; the language whose dictionary leaves the fewest bytes wins.  Confidence is the margin to the runner-up
 as a share of the runner-up's size; below ``min_margin`` the paragraph is rejected and gets no language.  A
-document's language is that of most of its words.
+document's language is that of most of its words; where all paragraphs are rejected, its whole text is judged at once.
 
 The dictionaries are fitted on a bounded sample: at most ``sample_rows`` labelled rows and ``sample_bytes`` bytes
 of each language, so what is broadcast does not grow with the data.
@@ -88,8 +88,10 @@ class Classifier:
             known.precompute_compress(level=level)
             self.compress.append(zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False).compress)
 
-    def __call__(self, plain: str) -> tuple[str, float]:
-        """(language, margin) of a normalised text."""
+    def __call__(self, plain: str) -> tuple[str | None, float]:
+        """(language, margin) of a normalised text; no language without samples."""
+        if not self.compress:
+            return None, 0.0
         data = plain.encode()
         sizes = [len(c(data)) for c in self.compress]
         best = min(sizes)
@@ -102,24 +104,25 @@ def fit(samples: DataFrame, lang: str, text: str, order: str, sample_rows: int =
     """Normalised sample text per language, within the bounds."""
     rows = samples.select(F.col(lang).alias("lang"), F.col(text).alias("body"), F.col(order).alias("o")).filter(F.col("lang").isNotNull() & (F.length("body") > 0))
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("o", "body"))).filter(F.col("n") <= sample_rows)
-    out: dict[str, str] = {}
+    out: dict[str, bytes] = {}
     for r in rows.orderBy("lang", "n").collect():
-        held = out.get(r["lang"], "")
+        held = out.get(r["lang"], b"")
         if len(held) < sample_bytes:
-            out[r["lang"]] = (held + " " + normal(r["body"])).strip()[:sample_bytes]
-    return out
+            out[r["lang"]] = (held + b" " + normal(r["body"]).encode()).strip()[:sample_bytes]
+    return {lang: held.decode(errors="ignore") for lang, held in out.items()}
 
 
-SEGMENTS = "doc_id long, segment_no long, lang string, confidence double, n_words long, label string, doc_lang string"
+SEGMENTS = "segment_no long, lang string, confidence double, n_words long, label string, doc_lang string"
 
 
 def segments(docs: DataFrame, key: str, text: str, label: str, samples: dict[str, str], min_margin: float = MIN_MARGIN) -> DataFrame:
     """doc_id, segment_no, lang, confidence, n_words, label, doc_lang: one row per document (segment 0) and per paragraph (1, 2, ...).
 
-    ``label`` is the language that the document's own label means, null if it has none.  Paragraphs without
-    letters and those of a narrow margin have a null ``lang``.  Null texts and texts without any recognised
-    paragraph have no rows.  Repeated rows give repeated segments.
+    ``label`` is the language that the document's own label means, null if it has none.  Paragraphs of a narrow margin
+    have a null ``lang``, and so has a document whose whole text has a narrow margin or no letters (confidence 0).
+    Paragraphs without letters and null texts have no rows.  Repeated rows give repeated segments; keys keep their type.
     """
+    keys = docs.schema[key].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(samples)
 
     def run(batches):
@@ -130,7 +133,7 @@ def segments(docs: DataFrame, key: str, text: str, label: str, samples: dict[str
             out: tuple[list, ...] = ([], [], [], [], [], [], [])
             for doc, body, given in zip(batch.column(0).to_pylist(), batch.column(1), pc.cast(batch.column(2), pa.string()).to_pylist(), strict=True):
                 body = body.as_py()
-                if not body:
+                if body is None:
                     continue
                 if given not in labels:
                     labels[given] = label_language(given)
@@ -148,23 +151,31 @@ def segments(docs: DataFrame, key: str, text: str, label: str, samples: dict[str
                         w[0] += n
                         w[1] += n * margin
                     found.append((doc, no, lang, margin, n, labels[given]))
+                total = sum(f[4] for f in found)
                 if votes:
                     top = max(sorted(votes), key=lambda x: votes[x][0])
-                    total = sum(f[4] for f in found)
-                    found.append((doc, 0, top, votes[top][1] / total, total, labels[given]))
-                    for row in found:
-                        for c, v in zip(out, (*row, top), strict=True):
-                            c.append(v)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.string(), pa.string())
+                    sure = votes[top][1] / total
+                else:
+                    top, sure = classify(normal(body)) if found else (None, 0.0)
+                    if sure < min_margin:
+                        top = None
+                found.append((doc, 0, top, sure, total, labels[given]))
+                for row in found:
+                    for c, v in zip(out, (*row, top), strict=True):
+                        c.append(v)
+            types = (batch.schema.field(0).type, pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "segment_no", "lang", "confidence", "n_words", "label", "doc_lang"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text), F.col(label)).mapInArrow(run, SEGMENTS)
+    return docs.select(F.col(key), F.col(text), F.col(label)).mapInArrow(run, f"doc_id {keys}, {SEGMENTS}")
 
 
 def mislabelled(rows: DataFrame) -> DataFrame:
-    """Of segments(): segment 0 where the label is missing or wrong, and every paragraph in another language than most words of its text."""
-    wrong = F.when(F.col("segment_no") == 0, ~F.col("lang").eqNullSafe(F.col("label"))).otherwise(F.col("lang").isNotNull() & (F.col("lang") != F.col("doc_lang")))
-    return rows.filter(wrong)
+    """Of segments(): segment 0 where the label is missing or wrong, and every paragraph in another language than most words of its text.
+
+    What has no language is not reported.
+    """
+    wrong = F.when(F.col("segment_no") == 0, ~F.col("lang").eqNullSafe(F.col("label"))).otherwise(F.col("lang") != F.col("doc_lang"))
+    return rows.filter(F.col("lang").isNotNull() & wrong)
 
 
 def document_segments(spark, sf_dir: str) -> DataFrame:

@@ -51,15 +51,27 @@ def test_segments(spark, halves):
     ]
     df = spark.createDataFrame(rows, DOCS)
     segments = language.segments(df, "doc_id", "text", "lang", samples)
-    assert {r["doc_id"] for r in segments.collect()} == {1, 2, 3, 7}
+    assert {r["doc_id"] for r in segments.filter("segment_no = 0").collect()} == {1, 2, 3, 5, 6, 7}
+    assert {(r["doc_id"], r["segment_no"], r["confidence"]) for r in segments.filter("lang IS NULL").collect()} == {(5, 0, 0.0), (6, 0, 0.0)}
     assert {(r["doc_id"], r["segment_no"], r["lang"]) for r in language.mislabelled(segments).collect()} == {(1, 0, "en"), (1, 4, "fr"), (3, 0, "de")}
-    assert all(0 < r["confidence"] <= 1 for r in segments.collect())
+    assert all(0 < r["confidence"] <= 1 for r in segments.filter("lang IS NOT NULL").collect())
 
 
 def test_narrow_margins_are_rejected(spark, halves):
     samples, _ = halves
     df = spark.createDataFrame([(1, "zzz qqq", "en", "x", 1)], DOCS)
-    assert language.segments(df, "doc_id", "text", "lang", samples, min_margin=0.9).count() == 0
+    rows = language.segments(df, "doc_id", "text", "lang", samples, min_margin=0.9).collect()
+    assert [(r["segment_no"], r["lang"], r["n_words"]) for r in rows] == [(1, None, 2), (0, None, 2)] and all(0 <= r["confidence"] < 0.9 for r in rows)
+    assert language.mislabelled(language.segments(df, "doc_id", "text", "lang", samples, min_margin=0.9)).count() == 0
+
+
+def test_whole_text_decides_where_its_paragraphs_are_too_short(spark, halves):
+    samples, held = halves
+    text = next(r["text"] for r in held if r["lang"] == "de")
+    short = "\n\n".join(text.split()[:60])
+    df = spark.createDataFrame([("k", short, "de")], "key string, text string, lang string")
+    rows = language.segments(df, "key", "text", "lang", samples, min_margin=0.12).collect()
+    assert [(r["doc_id"], r["lang"]) for r in rows if r["segment_no"] == 0] == [("k", "de")]
 
 
 def test_sample_bounds(spark):
@@ -67,7 +79,11 @@ def test_sample_bounds(spark):
     fitted = language.fit(rows, "lang", "text", "i", sample_rows=2)
     assert fitted == {"en": "some words here some words here"}
     assert len(language.fit(rows, "lang", "text", "i", sample_bytes=10)["en"]) == 10
+    greek = language.fit(rows.limit(1).selectExpr("i", "lang", "'αβγδε' AS text"), "lang", "text", "i", sample_bytes=5)
+    assert greek == {"en": "αβ"}
 
 
 def test_nothing(spark, halves):
     assert language.segments(spark.createDataFrame([], DOCS), "doc_id", "text", "lang", halves[0]).count() == 0
+    rows = language.segments(spark.createDataFrame([(1, "some words", "en", "x", 1)], DOCS), "doc_id", "text", "lang", {}).collect()
+    assert [(r["segment_no"], r["lang"], r["confidence"]) for r in rows] == [(1, None, 0.0), (0, None, 0.0)]
