@@ -1,10 +1,10 @@
 """Filling containers of fixed capacity with whole items.
 
 Lengths are rounded up to a grid, so the histogram has a bounded number of bins however many items there are.
-All combinations of up to three bins that fill a container exactly are enumerated, the number of times each is
-used is the non-negative least squares fit to the histogram, rounded down, and what is left is packed greedily,
-again by histogram: the largest length left, then the largest that still fits, the pattern repeated as often as
-its lengths last.  Only the histogram and the plan pass through the driver; both are bounded by the grid.
+All combinations of up to three bins that fill a container, and then those within a small window below, are
+enumerated, the number of times each is used is the non-negative least squares fit to the histogram, rounded down,
+and what is left is packed greedily, again by histogram: the largest length left, then the largest that still fits,
+the pattern repeated as often as its lengths last.  Only the histogram and the plan pass through the driver; both are bounded by the grid.
 Items are numbered within their bin in two levels, so a bin that holds a third of all rows is still spread over
 many tasks, and number ranges tell each item its container.
 """
@@ -18,25 +18,30 @@ from pyspark.sql.window import Window
 
 from quire.functions.whitespace import count_ws_tokens
 from quire.llm.splitting import split_oversized
-from quire.plans.materialize import materialize, small_enough, spread
+from quire.plans.materialize import join_checked, materialize, small_enough, spread
 
+#: Units of the grid that a fitted combination may leave free.
+WINDOW = 2
+#: Parts of a bin whose items are numbered apart; the table of their sizes has a row per bin and part.
+MOST_PARTS = 4096
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
-    """min ||ax - b|| over x >= 0 by the active set method; at most ``rounds`` columns enter."""
+def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """min ||ax - b|| over x >= 0 by the active set method, until no column improves the fit."""
     n = a.shape[1]
     x, active = np.zeros(n), np.zeros(n, dtype=bool)
     tolerance = 1e-9 * max(1.0, float(np.abs(a.T @ b).max(initial=0.0)))
-    for _ in range(rounds):
+    error, stalled = np.inf, 0
+    while stalled < 10:  # the fit gets better with every column; rounding errors alone could make it go round
         gradient = a.T @ (b - a @ x)
         gradient[active] = -np.inf
         enter = int(np.argmax(gradient))
         if gradient[enter] <= tolerance:
             break
         active[enter] = True
-        while True:
+        while active.any():
             held = np.flatnonzero(active)
             z, *_ = np.linalg.lstsq(a[:, held], b, rcond=None)
-            if z.min(initial=1.0) > 0:
+            if z.min() > 0:
                 x[:] = 0.0
                 x[held] = z
                 break
@@ -45,21 +50,21 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
             x[held] += step * (z - x[held])
             x[held[x[held] <= 1e-12]] = 0.0
             active &= x > 0
-            if not active.any():
-                break
+        now = float(np.square(b - a @ x).sum())
+        error, stalled = (now, 0) if now < error * (1 - 1e-12) else (error, stalled + 1)
     return x
 
 
-def shallow_patterns(units: int, present: np.ndarray) -> list[tuple[int, ...]]:
-    """Combinations of one to three of the present bins whose sizes add up to ``units`` exactly."""
-    have = set(present.tolist())
-    out: list[tuple[int, ...]] = [(units,)] if units in have else []
+def shallow_patterns(filled: int, present: list[int]) -> list[tuple[int, ...]]:
+    """Combinations of one to three of the present bins whose sizes add up to ``filled`` exactly."""
+    have = set(present)
+    out: list[tuple[int, ...]] = [(filled,)] if filled in have else []
     sizes = sorted(have)
     for i, a in enumerate(sizes):
-        if a <= units - a and units - a in have:
-            out.append((a, units - a))
+        if a <= filled - a and filled - a in have:
+            out.append((a, filled - a))
         for b in sizes[i:]:
-            c = units - a - b
+            c = filled - a - b
             if c < b:
                 break
             if c in have:
@@ -67,27 +72,36 @@ def shallow_patterns(units: int, present: np.ndarray) -> list[tuple[int, ...]]:
     return out
 
 
-def plan_patterns(histogram: dict[int, int], units: int) -> list[tuple[dict[int, int], int]]:
-    """(bin -> items per container, containers) so that every item of the histogram has a place."""
-    left = {s: n for s, n in histogram.items() if n > 0}
+def fit_patterns(left: dict[int, int], patterns: list[tuple[int, ...]]) -> list[tuple[dict[int, int], int]]:
+    """(bin -> items per container, containers) by non-negative least squares, rounded down; what they take goes from ``left``."""
+    row = {s: i for i, s in enumerate(left)}
+    a, b = np.zeros((len(row), len(patterns))), np.array(list(left.values()), dtype=float)
+    for j, p in enumerate(patterns):
+        for s in p:
+            a[row[s], j] += 1
+    x = nnls(a, b)
+    plan = []
+    for j in np.argsort(-x, kind="stable"):
+        need = {s: patterns[j].count(s) for s in patterns[j]}
+        times = min(int(x[j] + 1e-9), *(left[s] // k for s, k in need.items()))
+        if times > 0:
+            plan.append((need, times))
+            for s, k in need.items():
+                left[s] -= k * times
+    return plan
+
+
+def plan_patterns(histogram: dict[int, int], units: int, window: int = WINDOW) -> list[tuple[dict[int, int], int]]:
+    """(bin -> items per container, containers) so that every item of the histogram has a place.
+
+    Combinations that fill a container are fitted first, then those that leave one unit of room, up to ``window``.
+    """
+    left = {s: n for s, n in sorted(histogram.items()) if n > 0}
     plan: list[tuple[dict[int, int], int]] = []
-    present = np.array(sorted(left), dtype=int)
-    patterns = shallow_patterns(units, present)
-    if patterns:
-        row = {s: i for i, s in enumerate(present.tolist())}
-        a, b = np.zeros((len(present), len(patterns))), np.array([left[s] for s in present.tolist()], dtype=float)
-        for j, p in enumerate(patterns):
-            for s in p:
-                a[row[s], j] += 1
-        x = nnls(a, b)
-        for j in np.argsort(-x, kind="stable"):
-            need = {s: patterns[j].count(s) for s in patterns[j]}
-            times = min(int(x[j] + 1e-9), *(left[s] // k for s, k in need.items()))
-            if times > 0:
-                plan.append((need, times))
-                for s, k in need.items():
-                    left[s] -= k * times
-    left = {s: n for s, n in left.items() if n}
+    for room in range(window + 1):
+        if left and (patterns := shallow_patterns(units - room, list(left))):
+            plan += fit_patterns(left, patterns)
+            left = {s: n for s, n in left.items() if n}
     while left:
         room, need = units, {}
         for s in sorted(left, reverse=True):
@@ -133,10 +147,10 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2000, grid: int = 8
         .withColumn("bin", F.least(F.greatest(F.ceil(F.col("n_tokens") / grid), F.lit(1)), F.lit(units)).cast("int"))
     )
     spark = df.sparkSession
-    groups = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = min(MOST_PARTS, max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "piece_no", "n_tokens"), F.lit(groups)).cast("int"))
     counts = items.groupBy("bin", "part").agg(F.count("*").alias("n"))
-    # at most (capacity / grid) x groups rows, so this window and the broadcast below stay small
+    # at most (capacity / grid) x groups rows, so this window stays small
     before = counts.select("bin", "part", (F.sum("n").over(Window.partitionBy("bin").orderBy("part")) - F.col("n")).alias("before"))
     histogram = {r["bin"]: r["n"] for r in counts.groupBy("bin").agg(F.sum("n").alias("n")).collect()}
     ranges, taken, first = [], dict.fromkeys(histogram, 0), 0
@@ -145,17 +159,14 @@ def pack(df: DataFrame, key: str, text: str, capacity: int = 2000, grid: int = 8
             ranges.append((s, taken[s], taken[s] + k * times, first, k))
             taken[s] += k * times
         first += times
+    # one row per bin with its ranges in order: an item finds its own by counting those that begin at or before its place
     plan = spark.createDataFrame(ranges, "bin int, lo long, hi long, first long, per long")
-    numbered = (
-        items.withColumn("place", F.row_number().over(Window.partitionBy("bin", "part").orderBy("item_id", "piece_no", "n_tokens")).cast("long") - 1)
-        .join(F.broadcast(before), ["bin", "part"])
-        .withColumn("place", F.col("place") + F.col("before"))
-    )
-    return (
-        numbered.join(F.broadcast(plan), "bin")
-        .filter((F.col("place") >= F.col("lo")) & (F.col("place") < F.col("hi")))
-        .select((F.col("first") + F.floor((F.col("place") - F.col("lo")) / F.col("per"))).cast("long").alias("container_id"), "item_id", "piece_no", "n_tokens")
-    )
+    plan = plan.groupBy("bin").agg(F.array_sort(F.collect_list(F.struct("lo", "first", "per"))).alias("ranges"))
+    numbered = items.withColumn("place", F.row_number().over(Window.partitionBy("bin", "part").orderBy("item_id", "piece_no", "n_tokens")).cast("long") - 1)
+    placed = join_checked(numbered, before, ["bin", "part"], "inner", 48).withColumn("place", F.col("place") + F.col("before")).join(F.broadcast(plan), "bin")
+    mine = F.get("ranges", F.size(F.filter("ranges", lambda r: r["lo"] <= F.col("place"))) - 1)
+    placed = placed.withColumn("mine", mine)
+    return placed.select((F.col("mine.first") + F.floor((F.col("place") - F.col("mine.lo")) / F.col("mine.per"))).cast("long").alias("container_id"), "item_id", "piece_no", "n_tokens")
 
 
 def fill_report(packed: DataFrame, capacity: int = 2000) -> DataFrame:

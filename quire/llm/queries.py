@@ -21,10 +21,25 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_oversized(splitting.oversized_items(spark, sf_dir), ["item_table", "item_id"], "body", 2000, 100)
 
 
+def p1_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every cut item put together again from its pieces without their repeated parts, and whether the pieces keep within their size."""
+    piece = F.struct("piece_no", F.substring("piece", F.col("overlap_chars").cast("int") + 1, F.length("piece")).alias("fresh"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["fresh"]), "")  # pieces of one text
+    rows = p1_pieces(spark, sf_dir).groupBy("item_table", "item_id", "n_pieces")
+    return rows.agg(F.md5(whole).alias("digest"), ((F.max("n_tokens") <= 2000) & (F.count("*") == F.col("n_pieces"))).alias("within_limit")).drop("n_pieces")
+
+
 def p2_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens placed of every chunk."""
+    """Tokens placed of every chunk, and whether it is whole: in one container, in one piece."""
     packed = packing.chunks_packed(spark, sf_dir)
-    return packed.groupBy(F.col("item_id").alias("id")).agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"))
+    whole = (F.count("*") == 1) & (F.max("piece_no") == 0)
+    return packed.groupBy(F.col("item_id").alias("id")).agg(F.sum("n_tokens").cast("bigint").alias("n_tokens"), whole.alias("whole"))
+
+
+def p2_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: the room that all chunks need at least, tokens placed, the fullest container within the capacity, at most 2 % more containers than needed."""
+    r = packing.fill_report(packing.chunks_packed(spark, sf_dir))
+    return r.select("least_possible", "n_tokens", (F.col("fullest") <= 2000).alias("within_capacity"), (F.col("n_containers") <= F.col("least_possible") * 1.02 + 1).alias("well_filled"))
 
 
 def p2_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,8 +50,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p1_pieces": p1_pieces,
+        "p1_joined": p1_joined,
         "p2_pack": packing.chunks_packed,
         "p2_placed": p2_placed,
+        "p2_containers": p2_containers,
         "p2_fill": p2_fill,
         "p3_found": ocr.block_damage,
         "p3_repaired": ocr.passages_repaired,
@@ -85,13 +102,18 @@ WINDOWS = """words AS (SELECT 'd' AS side, doc_id AS k, regexp_extract_all(lower
     hits AS (SELECT DISTINCT d.k AS doc_id, e.k AS item_id, d.i FROM windows d JOIN windows e ON d.g = e.g WHERE d.side = 'd' AND e.side = 'i')"""
 
 
+CHUNKS = f"SELECT DISTINCT id, content, {_tokens('content')} AS n_tokens FROM parent_chunks WHERE content IS NOT NULL"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p7_found": f"WITH {WINDOWS} SELECT DISTINCT doc_id, item_id FROM hits",
         "p7_spans": f"""WITH {WINDOWS}, steps AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM (SELECT DISTINCT doc_id, i FROM hits)),
             spans AS (SELECT doc_id, count(*) FILTER (WHERE before IS NULL OR i - before > 12) AS n FROM steps GROUP BY doc_id) SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n_spans FROM documents d LEFT JOIN spans s USING (doc_id)""",
         "p1_found": f"WITH {ITEMS} SELECT item_table, item_id FROM items WHERE {_tokens('body')} > 2000",
-        "p2_placed": f"SELECT id, sum(n_tokens)::BIGINT AS n_tokens FROM (SELECT DISTINCT id, content, {_tokens('content')} AS n_tokens FROM parent_chunks WHERE content IS NOT NULL) GROUP BY id",
+        "p1_joined": f"WITH {ITEMS} SELECT item_table, item_id, md5(body) AS digest, true AS within_limit FROM items WHERE {_tokens('body')} > 2000",
+        "p2_placed": f"SELECT id, sum(n_tokens)::BIGINT AS n_tokens, count(*) = 1 AND max(n_tokens) <= 2000 AS whole FROM ({CHUNKS}) GROUP BY id",
+        "p2_containers": f"SELECT ceil(sum(n_tokens) / 2000)::BIGINT AS least_possible, sum(n_tokens)::BIGINT AS n_tokens, true AS within_capacity, true AS well_filled FROM ({CHUNKS})",
         "p5_found": f"WITH {_records(50)}, k AS (SELECT DISTINCT id, canon FROM records), c AS (SELECT canon, min(id) AS first_id FROM k GROUP BY canon) SELECT c.first_id, k.id AS copy_id FROM k JOIN c ON k.canon = c.canon WHERE k.id > c.first_id",
         "p5_passages": f"WITH {_records(0)} SELECT min(id) AS first_id, count(DISTINCT id) AS n_items, arg_min(text_content, (id, text_content)) AS passage FROM records GROUP BY canon",
     }

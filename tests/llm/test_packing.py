@@ -23,15 +23,26 @@ def test_nnls_like_brute_force():
 
 
 def test_patterns_fill_exactly():
-    found = shallow_patterns(10, np.array([1, 2, 4, 5, 6, 10]))
+    found = shallow_patterns(10, [1, 2, 4, 5, 6, 10])
     assert set(found) == {(10,), (4, 6), (5, 5), (1, 4, 5), (2, 2, 6), (2, 4, 4)} and all(sum(p) == 10 for p in found)
 
 
+def test_nnls_goes_on_until_nothing_improves():
+    rng = np.random.default_rng(3)
+    a, x = rng.random((200, 180)), rng.random(180)
+    assert np.abs(nnls(a, a @ x) - x).max() < 1e-6
+
+
+def test_window_takes_what_exact_combinations_leave():
+    assert plan_patterns({12: 10, 11: 10}, 24, 1) == [({12: 2}, 5), ({11: 2}, 5)] and plan_patterns({12: 10, 11: 10}, 23, 0) == [({11: 1, 12: 1}, 10)]
+    assert sum(times for _, times in plan_patterns({12: 10, 11: 10}, 25, 2)) == 10
+
+
 def test_plan_places_all():
     rng = random.Random(2)
     for _ in range(60):
         histogram = {rng.randint(1, 25): rng.randint(1, 300) for _ in range(rng.randint(0, 12))}
-        plan = plan_patterns(histogram, 25)
+        plan = plan_patterns(histogram, 25, rng.randint(0, 3))
         placed = {}
         for need, times in plan:
             assert times > 0 and sum(s * k for s, k in need.items()) <= 25
