@@ -116,6 +116,8 @@ def as_text(value) -> str | None:
 
 #: Kinds of triples: a repeated object begins; a key occurs again in its object.
 OPEN, RETRACT = "{", "!"
+#: Put behind a field path that two fields of one object share, as "a.b" and "b" within "a".
+SAME = "~"
 
 _KEY = re.compile(r'[ \t\n\r]*"([^"\\\x00-\x1f]*)"[ \t\n\r]*:')
 #: Groups: 1 plain string, 2 and 3 number, 4 opening, 5 boolean, 6 null, 7 end of an empty array; none: a string with escapes.
@@ -168,7 +170,7 @@ def triples(text: str | None):
 
     The owner is the innermost object that is an element of an array, or the record itself, whose place is ''.  It is
     announced by a triple of kind OPEN with its own place and its parent's place as value, before any of its fields.
-    Kinds of values: 's' string, 'i' integer, 'n' other number, 'b' boolean, '0' null, 'a' array of scalars (its JSON as
+    Kinds of values: 's' string, 'i' integer of at most 18 characters, 'n' other number, 'b' boolean, '0' null, 'a' array of scalars (its JSON as
     written), 'o' empty object.  Scalars beside containers in one array are fields by their ordinals.  RETRACT says
     that a key is repeated in its object: what was read under it (field, and its place as value) is void.
 
@@ -215,7 +217,7 @@ def triples(text: str | None):
             if k == 1:
                 kind, value = "s", m.group(1)
             elif k == 3:
-                kind, value = ("n", m.group(2) + m.group(3)) if m.group(3) else ("i", m.group(2))
+                kind, value = ("n" if m.group(3) or m.end() - m.start(2) > 18 else "i", m.group(2) + m.group(3))
             elif k == 4:
                 opens_object = m.group(4) == "{"
                 stack.append((is_object, len(full), None, cut, len(place), mine, keys, held, n + 1, begin))

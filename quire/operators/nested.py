@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.jsontext import OPEN, RETRACT, triples
+from quire.functions.jsontext import OPEN, RETRACT, SAME, triples
 from quire.plans.materialize import spread
 
 #: Rows and fields of a batch that goes back to the JVM.
@@ -59,6 +59,8 @@ class _Rows:
                     self.retract(rows, place, field, value)
                     owner, held = place, rows[place]
                 else:
+                    while field in held[3]:  # the path of another field reads the same
+                        field += SAME
                     held[3][field] = (kind, value)
         except ValueError:
             return False
@@ -81,7 +83,7 @@ class _Rows:
         for p in [p for p in rows if p.startswith(member + "/")]:
             del rows[p]
         held = rows[place][3]
-        for f in [f for f in held if f == field or f.startswith((field + ".", field + "["))]:
+        for f in [f for f in held if f == field or f.startswith((field + ".", field + "[", field + SAME))]:
             del held[f]
 
     def batch(self) -> pa.RecordBatch:

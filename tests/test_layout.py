@@ -78,11 +78,11 @@ def test_columns_of_flat_tables(spark):
     docs = [{"a": [{"x": 1, "X": "u", "doc_id": 5, "y.z": 1.5, "y": {"z": 2}, f"rare {i}": i} for i in range(3)]}, {"a": [{"x": 2.5, "doc_id": "s"}]}]
     nodes = nested.flatten(spark.createDataFrame(rows([json.dumps(d) for d in docs]), DOCS), "doc_id", "j")
     t = nested.flat_tables(nodes, least=0.5)["a[]"]
-    # the path y.z stands for a field of that name and for one of an object: of one key read twice the last counts
-    assert dict(t.dtypes) == {"doc_id": "bigint", "child_path": "string", "parent_path": "string", "ordinal": "int", "X": "string", "doc_id_2": "string", "x_2": "double", "y_z": "bigint", "rest": "map<string,string>"}
-    assert {r["child_path"]: (r["doc_id"], r["x_2"], r["doc_id_2"], r["rest"]) for r in t.collect()} == {
-        **{f"/a/{i}": (0, 1.0, "5", {f"rare {i}": f"{i}"}) for i in range(3) if i}, "/a/0": (0, 1.0, "5", {"rare 0": "0"}),
-    } | {r["child_path"]: (r["doc_id"], r["x_2"], r["doc_id_2"], r["rest"]) for r in t.filter("doc_id = 1").collect()}
+    types = dict(t.dtypes)
+    assert types == {"doc_id": "bigint", "child_path": "string", "parent_path": "string", "ordinal": "int", "X": "string", "doc_id_2": "string", "x_2": "double", "y_z": "double", "y_z_": "bigint", "rest": "map<string,string>"}
+    assert {(r["doc_id"], r["child_path"]): (r["X"], r["x_2"], r["doc_id_2"], r["y_z"], r["y_z_"], r["rest"]) for r in t.collect()} == {
+        **{(0, f"/a/{i}"): ("u", 1.0, "5", 1.5, 2, {f"rare {i}": f"{i}"}) for i in range(3)}, (1, "/a/0"): (None, 2.5, "s", None, None, {}),
+    }
 
 
 def test_streamed_triples():
@@ -198,56 +198,89 @@ def test_no_releases(spark):
 
 
 def test_alias_chains(spark):
-    log = spark.createDataFrame([("2", "renamed", "a", "b"), ("3", "renamed", "b", "c"), ("3", "added", "", "x"), ("4", "renamed", "c", "a")], "parser_version string, change string, old_path string, new_path string")
-    assert drift.alias_table(log)["a"] in {"b", "c"} and drift.alias_table(log.filter("parser_version < '4'")) == {"a": "c", "b": "c"}
-
-
-def test_one_table_for_all_releases(spark):
-    docs = [
-        (1, "0", json.dumps({"elements": [{"element_id": "a", "prov": [{"page": 3, "bbox": [1, 2, 3, 4]}], "text": "x", "level": 2}]})),
-        (2, "9", json.dumps({"texts": [{"id": "b", "prov": [{"page_no": 4, "bbox": {"l": 1, "t": 2, "r": 3, "b": 4}}], "text": "y", "level": "2"}], "pictures": [{"id": "p", "caption": {"text": "c", "lang": "en"}}, {"id": "q", "caption": None}]})),
-        (3, "9", "[1]"),
-        (4, "9", None),
-    ]
-    aliases = {"elements": "texts", "texts[].element_id": "texts[].id", "texts[].prov[].page": "texts[].prov[].page_no"}
-    df = spark.createDataFrame(docs, "doc_id bigint, v string, j string")
-    got = {r["element_id"]: r for r in drift.unified_elements(df, "doc_id", "v", "j", aliases).collect()}
-    assert set(got) == {"a", "b", "p", "q"}
-    assert [(got[k]["array"], got[k]["page_no"], got[k]["bbox_b"], got[k]["level"]) for k in "ab"] == [("texts", 3, 4.0, 2), ("texts", 4, 4.0, 2)]
-    assert (got["p"]["caption"], got["p"]["caption_lang"], got["q"]["caption"]) == ("c", "en", None)
+    log = spark.createDataFrame([("10", "renamed", "b[].x", "b[].y"), ("2", "renamed", "a", "b"), ("3", "added", "", "x"), ("11", "renamed", "b", "a"), ("11", "renamed", "c", "b")], "parser_version string, change string, old_path string, new_path string")
+    aliases = drift.alias_table(log)
+    assert aliases == [("2", "a", "b"), ("10", "b[].x", "b[].y"), ("11", "b", "a"), ("11", "c", "b")]
+    releases = ["1", "2", "10", "11"]
+    # names come back and pass from one field to another, so each release is read by the renamings after it
+    assert [drift.canonical(p, r, releases, aliases) for p, r in (("a[].x", "1"), ("b[].x", "2"), ("b[].x", "10"), ("c", "10"), ("a", "11"), ("ab", "1"), ("a", None), ("a", "zz"))] == ["a[].y", "a[].y", "a[].x", "b", "a", "ab", "a", "a"]
+
+
+def drifting():
+    """Documents of four releases whose elements hold the same things under other names and shapes."""
+    out = []
+    for i in range(40):
+        text = {"element_id": f"e{i}", "prov": [{"page": i, "bbox": [1.5, 2, 3, 4]}, {"page": i + 1, "bbox": [5, 6, 7, 8]}], "text": f"words of text {i}", "level": 2, "caption": f"a picture of thing {i}"}
+        new = {"id": f"e{i}", "prov": [{"page_no": i, "bbox": {"l": 1.5, "t": 2, "r": 3, "b": 4}}, {"page_no": i + 1, "bbox": {"l": 5, "t": 6, "r": 7, "b": 8}}], "text": f"words of text {i}", "level": "2", "caption": {"lang": "en", "text": f"a picture of thing {i}"}}
+        out += [("0.9", {"elements": [text]}), ("1.10", {"texts": [new], "groups": [{"children": [{"ref": f"#/{i}"}]}]})]
+    return [(n, v, json.dumps(d), "x") for n, (v, d) in enumerate(out)]
+
+
+def test_casts_follow_from_the_catalogue(spark):
+    odd = [(900, None, json.dumps({"texts": [{"id": "late", "prov": [{"page_no": 1}], "never seen": {"a": [1, {"b": 2}]}}]}), "x"), (901, "1.10", "{", "x"), (902, "1.10", None, "x")]
+    df = spark.createDataFrame([*drifting(), *odd], "doc_id bigint, v string, j string, release string")
+    table = drift.element_table(df, "doc_id", "v", "j", least=0.05)
+    types = dict(table.dtypes)
+    assert {c: types[c] for c in ("id", "text", "level", "caption_lang", "caption_text")} == dict.fromkeys(("id", "text", "level", "caption_lang", "caption_text"), "string") and "element_id" not in types
+    assert types["prov"] == "array<struct<at:string,page_no:bigint,bbox_l:double,bbox_t:bigint,bbox_r:bigint,bbox_b:bigint,rest:map<string,string>>>" and types["children"].startswith("array<struct<at:string,ref:string")
+    rows = {(r["doc_id"], r["array"]): r for r in table.collect()}
+    assert len(rows) == 40 * 3 + 1
+    for i in range(40):
+        old, new = rows[2 * i, "texts"], rows[2 * i + 1, "texts"]
+        assert [old[c] for c in ("id", "text", "level", "caption_text")] == [new[c] for c in ("id", "text", "level", "caption_text")] == [f"e{i}", f"words of text {i}", "2", f"a picture of thing {i}"]
+        assert old["prov"] == new["prov"] and [(p["at"], p["page_no"], p["bbox_l"], p["bbox_b"]) for p in old["prov"]] == [("prov/0", i, 1.5, 4), ("prov/1", i + 1, 5.0, 8)]
+        assert old["rest"] == new["rest"] == {} and old["others"] == []
+    late = rows[900, "texts"]
+    assert (late["id"], late["prov"][0]["page_no"], late["rest"]) == ("late", 1, {"never seen.a[0]": "1"})
+    assert [(o["path"], o["at"], o["fields"]) for o in late["others"]] == [("never seen.a[]", "never seen/a/1", {"b": "2"})]
 
 
 def test_every_layout_gives_its_elements(spark):
     docs = [
-        {"texts": [{"text": "a"}], "groups": [{"label": "list", "name": "g", "children": [{"ref": "#/texts/0"}, {"cref": "#/texts/1"}, "#/texts/2"]}], "form_items": [{"id": "f"}], "pages": [{"page_no": 1}]},
-        {"elements": [{"text": "b", "prov": [{"page": 7}]}]},
+        {"texts": [{"text": "a"}], "groups": [{"label": "list", "name": "g", "children": [{"ref": "#/texts/0"}]}], "form_items": [{"text": "f"}], "pages": [{"page_no": 1}]},
+        {"elements": [{"text": "b"}, "no element", {"text": "b2"}]},
         {"body": [{"text": "c"}]},
         {"body": {"elements": [{"text": "d"}]}},
         {"pages": [{"elements": [{"text": "e"}]}, {}, {"elements": [{"text": "f"}]}]},
         [{"text": "g"}, {"text": "h"}],
-        {"groups": [{"name": "i"}]},
+        {"groups": [{"text": "i"}]},
     ]
-    df = spark.createDataFrame([(i, "1", json.dumps(d)) for i, d in enumerate(docs)], "doc_id bigint, v string, j string")
-    got = drift.unified_elements(df, "doc_id", "v", "j", {"texts[].prov[].page": "texts[].prov[].page_no"}).collect()
-    assert sorted((r["doc_id"], r["array"], r["ordinal"], r["text"] or r["name"] or r["element_id"]) for r in got) == [
-        (0, "form_items", 0, "f"), (0, "groups", 0, "g"), (0, "texts", 0, "a"), (1, "elements", 0, "b"), (2, "body", 0, "c"), (3, "body.elements", 0, "d"),
-        (4, "pages[].elements", 0, "e"), (4, "pages[].elements", 1, "f"), (5, "[]", 0, "g"), (5, "[]", 1, "h"), (6, "groups", 0, "i"),
-    ]
-    assert {r["name"]: r["children"] for r in got}["g"] == ["#/texts/0", "#/texts/1", "#/texts/2"] and {r["text"]: r["page_no"] for r in got}["b"] == 7
-
-
-def test_elements_keep_every_provenance_and_field(spark):
-    table = {"id": "t", "prov": [{"page": 3, "bbox": [1, 2, 3, 4, 5]}, {"page": 4, "bbox": {"l": 6}, "span": [0, 9]}], "data": {"num_rows": 1, "table_cells": [{"text": "x"}, {"text": "y"}]}}
-    pair = {"id": "k", "key": "old", "links": [{"from": 0, "to": 1}], "odd": True, "none": None}
-    df = spark.createDataFrame([(1, "1", json.dumps({"tables": [table], "key_value_items": [pair]}))], "doc_id bigint, v string, j string")
-    aliases = {"tables[].prov[].page": "tables[].prov[].page_no", "key_value_items[].key": "key_value_items[].id"}
-    got = {r["element_id"]: r for r in drift.unified_elements(df, "doc_id", "v", "j", aliases).collect()}
-    assert [tuple(p) for p in got["t"]["prov"]] == [(3, 1.0, 2.0, 3.0, 4.0), (4, 6.0, None, None, None)] and (got["t"]["page_no"], got["t"]["bbox_b"], got["t"]["num_rows"]) == (3, 4.0, 1)
-    assert [tuple(x) for x in got["t"]["rest"]] == [
-        ("prov[0].bbox[4]", "5"), ("prov[1].span[0]", "0"), ("prov[1].span[1]", "9"), ("data.table_cells[0].text", "x"), ("data.table_cells[1].text", "y"),
+    df = spark.createDataFrame([(f"k{i}", "1", json.dumps(d)) for i, d in enumerate(docs)], "key string, v string, j string")
+    got = drift.element_table(df, "key", "v", "j").collect()
+    assert sorted((r["doc_id"], r["array"], r["ordinal"], r["text"] or r["name"]) for r in got) == [
+        ("k0", "form_items", 0, "f"), ("k0", "groups", 0, "g"), ("k0", "texts", 0, "a"), ("k1", "elements", 0, "b"), ("k1", "elements", 2, "b2"), ("k2", "body", 0, "c"), ("k3", "body.elements", 0, "d"),
+        ("k4", "pages[].elements", 0, "e"), ("k4", "pages[].elements", 0, "f"), ("k5", "[]", 0, "g"), ("k5", "[]", 1, "h"), ("k6", "groups", 0, "i"),
     ]
-    assert [tuple(x) for x in got["k"]["rest"]] == [("key", "old"), ("links[0].from", "0"), ("links[0].to", "1"), ("odd", "true")]
-    assert got["k"]["prov"] == [] and got["k"]["page_no"] is None
+    assert drift.element_table(df.limit(0), "key", "v", "j").count() == 0
+
+
+def test_nothing_is_lost(spark):
+    """Every scalar of every element is in a column, in rest or in others, whatever its name means in other releases."""
+    rng = random.Random(9)
+    names = ["a", "b", "c", "a.b"]
+
+    def scalar():
+        return rng.choice([lambda: rng.randint(10**6, 10**9) + 0.5, lambda: f"s{rng.random()}", lambda: rng.random()])()
+
+    def build(depth=0):
+        out = {}
+        for n in rng.sample(names, rng.randint(1, 4)):
+            kind = rng.random()
+            out[n] = scalar() if kind < 0.5 or depth > 2 else build(depth + 1) if kind < 0.7 else [build(depth + 1) for _ in range(rng.randint(1, 2))] if kind < 0.9 else [scalar() for _ in range(2)]
+        return out
+
+    def scalars(v):
+        return [x for y in (v.values() if isinstance(v, dict) else v) for x in scalars(y)] if isinstance(v, (dict, list)) else [str(v)]
+
+    docs = [(i, str(i % 3), {"texts": [build()], "tables": [build()]}) for i in range(60)]
+    df = spark.createDataFrame([(i, v, json.dumps(d)) for i, v, d in docs], "doc_id bigint, v string, j string")
+    for least in (0.0, 0.3):
+        held = {}
+        for r in drift.element_table(df, "doc_id", "v", "j", least).collect():
+            held[r["doc_id"]] = held.get(r["doc_id"], "") + json.dumps(r.asDict(recursive=True))
+        for i, _, d in docs:
+            for x in scalars(d):
+                assert x in held[i], (least, i, x, json.dumps(d), held[i])
 
 
 def test_release_order(spark):
