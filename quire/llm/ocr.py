@@ -1,9 +1,10 @@
 """Repairing text from scanned pages.
 
 Two passes over the blocks.  The first counts words, pairs of neighbouring words and letter skeletons of the
-whole corpus into a count-min sketch of fixed size, which is what the second pass carries: it does not grow with
-the data, and its error stays the same share of the corpus.  Words next to a line end are not counted, since
-they may be halves.
+whole corpus, exactly, in one shuffle by key.  What is rarer than one in 2^24 words counts as unseen at every size of the
+corpus, so the table that the second pass carries has at most 3 x 2^24 keys of 14 bytes, of natural text some per
+cent of that.  Words next to a line end are not counted, since they may be halves.  The probabilities of the single
+confusions are learned from the words of the corpus by expectation maximisation.
 
 The second pass reads every block.  A word is suspicious when it is rare within its skeleton, the form that all
 look-alike characters share.  Lines with suspicious words are decoded by Viterbi over candidate words: the
@@ -34,9 +35,13 @@ CONFUSIONS = (
 )
 #: Letters in place of digits.
 DIGIT_CONFUSIONS = (("o", "0"), ("l", "1"), ("i", "1"), ("s", "5"), ("b", "8"), ("b", "6"), ("z", "2"), ("g", "9"))
+ALL_CONFUSIONS = CONFUSIONS + DIGIT_CONFUSIONS
+#: The digits that a letter may stand for, each with its place among all confusions.
+DIGITS_OF = {letter: [(d, len(CONFUSIONS) + i) for i, (x, d) in enumerate(DIGIT_CONFUSIONS) if x == letter] for letter, _ in DIGIT_CONFUSIONS}
 #: Every look-alike maps to what it shares with its original.
 SKELETON = str.maketrans({"m": "rri", "n": "ri", "d": "ei", "u": "ii", "h": "ii", "w": "vv", "c": "e", "f": "t", "5": "s", "l": "i", "1": "i", "0": "o", "9": "g", "6": "b", "8": "b"})
 
+#: How readily a word is taken for a misreading; the probability of an average confusion.
 P_CONFUSION = 0.02
 P_CUT = 0.001
 RARE = 0.03
@@ -44,7 +49,10 @@ RARE = 0.03
 ONCE = 0.9
 MEMO = 500_000
 
-WIDTH, DEPTH = 1 << 21, 3
+#: Words, pairs and skeletons of a smaller share of all words count as unseen.
+RAREST = 1 / (1 << 24)
+#: Rounds of expectation maximisation; confusions that the mean rate would give, added to the expected ones; how far a probability may be from the average.
+ROUNDS, PRIOR, FARTHEST = 2, 20.0, 8.0
 
 #: Zero width space and byte order mark.
 _INVISIBLE = (chr(0x200B), chr(0xFEFF))
@@ -109,36 +117,21 @@ def is_page_number(line: str) -> bool:
     return 0 < len(plain) <= 24 and PAGE_NUMBER.fullmatch(plain) is not None
 
 
-def slots(keys: list[str]) -> np.ndarray:
-    """Places of the keys in each row of the sketch."""
-    h = np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype=np.uint64)
-    a, b = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)
-    return np.stack([(a + np.uint64(i) * b) % np.uint64(WIDTH) for i in range(DEPTH)]).astype(np.int64)
-
-
 # --- first pass -------------------------------------------------------------------------------------------------
 
 
 def corpus_counts(rows: DataFrame) -> DataFrame:
-    """slot, n: the counts of all words ('w'), skeletons ('s'), pairs ('p') and the totals, by place in the sketch."""
+    """word, h, n: how often each word, skeleton ('s') and pair ('p') occurs, by the hash of its key; words are named."""
 
     def emit(words: Counter, pairs: Counter):
-        merged: Counter = Counter()
-        total = numbers = 0
+        skeletons: Counter = Counter()
         for w, n in words.items():
-            merged["w" + w] += n
-            merged["s" + w.translate(SKELETON)] += n
-            total += n
-            if w.isdecimal():
-                numbers += n
-        for (a, b), n in pairs.items():
-            merged[f"p{a} {b}"] += n
-        if not merged:
-            return
-        at = slots(list(merged)) + (np.arange(DEPTH) * WIDTH)[:, None]
-        n = np.tile(np.fromiter(merged.values(), dtype=np.int64, count=len(merged)), DEPTH)
-        at, n = np.concatenate([at.ravel(), [-1, -2]]), np.concatenate([n, [total, numbers]])
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["slot", "n"])
+            skeletons[w.translate(SKELETON)] += n
+        keys = [*("w" + w for w in words), *("s" + k for k in skeletons), *(f"p{a} {b}" for a, b in pairs)]
+        named = [*words, *[None] * (len(skeletons) + len(pairs))]
+        n = [*words.values(), *skeletons.values(), *pairs.values()]
+        hashes = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(named, pa.string()), pa.array(hashes), pa.array(n, pa.int64())], names=["word", "h", "n"])
 
     def run(batches):
         words: Counter = Counter()
@@ -159,32 +152,83 @@ def corpus_counts(rows: DataFrame) -> DataFrame:
                 pairs.clear()
         yield from emit(words, pairs)
 
-    return rows.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "word string, h long, n long").groupBy("word", "h").agg(F.sum("n").alias("n"))
+
+
+def table_of(hashes: np.ndarray, n: np.ndarray) -> dict:
+    """Keys in the order of their hashes, their counts, and where the keys of each run of leading bits begin."""
+    order = np.argsort(hashes)
+    keys = hashes[order]
+    bits = max(1, int(len(keys)).bit_length())
+    starts = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.float64) * 2.0 ** (64 - bits))
+    starts[-1] = len(keys)
+    return {"keys": keys, "n": n[order].astype(np.float32), "starts": starts.astype(np.uint32), "shift": 64 - bits}
+
+
+def learn(rows: DataFrame) -> dict:
+    """The language model and the channel of all passages."""
+    passages = rows.filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer")).select("body")
+    counts = materialize(corpus_counts(passages))
+    word, n = F.col("word"), F.col("n")
+    total, numbers = counts.agg(F.sum(F.when(word.isNotNull(), n)), F.sum(F.when(word.rlike(r"\A\p{Nd}+\z"), n))).first()
+    total = float(total or 0)
+    held = counts.filter(n >= RAREST * total).select("h", "n").toArrow()  # words, pairs, skeletons: at most 1 / RAREST each
+    learned = table_of(held.column("h").to_numpy().view(np.uint64), held.column("n").to_numpy())
+    learned |= {"total": total, "numbers": float(numbers or 0), "unit": max(1.0, RAREST * total), "channel": None}
+    return learned | {"channel": channel(counts.filter(word.isNotNull()).select("word", "n"), learned)}
+
 
+def channel(words: DataFrame, learned: dict) -> list[float]:
+    """The probability of every confusion of ALL_CONFUSIONS, from all different words and their counts.
 
-def collect_sketch(counts: DataFrame) -> dict:
-    """The sketch as one array of DEPTH x WIDTH single precision counts, with the totals."""
-    table = counts.toArrow()  # at most DEPTH x WIDTH + 2 rows
-    slot, n = table.column("slot").to_numpy(), table.column("n").to_numpy()
-    cells = np.zeros(DEPTH * WIDTH, dtype=np.float32)
-    inside = slot >= 0
-    cells[slot[inside]] = n[inside]
-    totals = dict(zip(slot[~inside].tolist(), n[~inside].tolist(), strict=True))
-    return {"cells": cells.reshape(DEPTH, WIDTH), "total": float(totals.get(-1, 0)), "numbers": float(totals.get(-2, 0))}
+    Expectation: for each suspicious word the share of each candidate, by its count and the channel.  Maximisation: what
+    a confusion is expected to have happened per occurrence of what it stands for, relative to the mean of all.
+    """
+    size = len(ALL_CONFUSIONS)
+    chances: list[float] | None = None
+    for _ in range(ROUNDS):
+        shared = words.sparkSession.sparkContext.broadcast(learned | {"channel": chances})
+
+        def run(batches, shared=shared):
+            model = Model(shared.value)
+            happened, could = np.zeros(size), np.zeros(size)
+            for batch in batches:
+                for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    for c, (_, true) in enumerate(ALL_CONFUSIONS):
+                        if true in w:
+                            could[c] += n * w.count(true)
+                    if model.suspicious(w):
+                        options = [(model.p(y) * math.exp(p), used) for y, p, used in model.odd[w]]
+                        every = sum(q for q, _ in options) + model.p(w, True)
+                        for q, used in options:
+                            for c in used:
+                                happened[c] += n * q / every
+            yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(happened), pa.array(could)], names=["c", "happened", "could"])
+
+        sums = words.mapInArrow(run, "c int, happened double, could double").groupBy("c").agg(F.sum("happened"), F.sum("could")).collect()  # one row per confusion
+        happened, could = (sum(r[k] for r in sums) for k in (1, 2))
+        mean = happened / could if could else 0.0
+        if not mean:
+            break
+        rates = {r[0]: (r[1] + PRIOR) / (r[2] + PRIOR / mean) / mean for r in sums}
+        chances = [P_CONFUSION * min(FARTHEST, max(1 / FARTHEST, rates.get(c, 1.0))) for c in range(size)]
+    return chances or [P_CONFUSION] * size
 
 
 # --- second pass ------------------------------------------------------------------------------------------------
 
 
 class Model:
-    """Language model and channel over the sketch, with memory for words already judged."""
+    """Language model and channel, with memory for words already judged."""
 
-    def __init__(self, sketch: dict):
-        self.rows = [memoryview(row) for row in np.ascontiguousarray(sketch["cells"])]
-        self.total, self.numbers = max(1.0, sketch["total"]), sketch["numbers"]
+    def __init__(self, learned: dict):
+        self.keys, self.n, self.starts = (memoryview(learned[k]) for k in ("keys", "n", "starts"))
+        self.shift = learned["shift"]
+        self.total, self.numbers, self.unit = max(1.0, learned["total"]), learned["numbers"], learned["unit"]
+        self.steps = [math.log(p) for p in learned["channel"] or [P_CONFUSION] * len(ALL_CONFUSIONS)]
         self.counts: dict[str, float] = {}
         self.known: set[str] = set()
-        self.odd: dict[str, list[tuple[str, float]]] = {}
+        self.odd: dict[str, list[tuple[str, float, tuple[int, ...]]]] = {}
 
     def count(self, key: str) -> float:
         n = self.counts.get(key)
@@ -192,8 +236,13 @@ class Model:
             if len(self.counts) > MEMO:
                 self.counts.clear()
             h = xxhash.xxh64_intdigest(key)
-            a, b = h & 0xFFFFFFFF, h >> 32
-            n = self.counts[key] = min(row[(a + i * b) % WIDTH] for i, row in enumerate(self.rows))
+            first = h >> self.shift
+            n = 0.0
+            for i in range(self.starts[first], self.starts[first + 1]):
+                if self.keys[i] == h:
+                    n = self.n[i]
+                    break
+            self.counts[key] = n
         return n
 
     def word(self, w: str) -> float:
@@ -201,33 +250,36 @@ class Model:
         n = self.count("w" + w)
         return n or (self.numbers / 10 ** len(w) if w.isdecimal() else 0.0)
 
-    def candidates(self, w: str, edits: int = 2) -> list[tuple[str, float]]:
-        """(word of the corpus, log probability that it was read as ``w``), without ``w`` itself."""
-        reached, front = {w: 0.0}, [w]
-        step = math.log(P_CONFUSION)
+    def candidates(self, w: str, edits: int = 2) -> list[tuple[str, float, tuple[int, ...]]]:
+        """(word of the corpus, log probability that it was read as ``w``, confusions that lead there), without ``w`` itself."""
+        reached: dict[str, tuple[float, tuple[int, ...]]] = {w: (0.0, ())}
+        front = [w]
         for _ in range(edits if len(w) <= 24 else 1):
             fresh = []
             for x in front:
-                for seen, true in CONFUSIONS:
+                so_far, used = reached[x]
+                for c, (seen, true) in enumerate(CONFUSIONS):
                     i = x.find(seen)
                     while i >= 0:
                         y = x[:i] + true + x[i + len(seen) :]
+                        p = so_far + self.steps[c]
                         if y not in reached:
-                            reached[y] = reached[x] + step
                             fresh.append(y)
+                            reached[y] = (p, (*used, c))
+                        elif p > reached[y][0]:
+                            reached[y] = (p, (*used, c))
                         i = x.find(seen, i + 1)
             front = fresh
-        if len(w) <= 12:
-            forms = [""]
-            for c in w:
-                digits = [c] if c.isdigit() else [d for letter, d in DIGIT_CONFUSIONS if letter == c]
-                forms = [f + d for f in forms for d in digits][:64]
-            for f in forms:
-                changed = sum(a != b for a, b in zip(f, w, strict=True)) if f else 0
-                if changed:
-                    reached[f] = max(reached.get(f, -99.0), step * changed)
+        if len(w) <= 12 and any(c in DIGITS_OF for c in w):
+            forms: list[tuple[str, float, tuple[int, ...]]] = [("", 0.0, ())]
+            for x in w:
+                ways = [(x, 0.0, ())] if x.isdigit() else [(d, self.steps[c], (c,)) for d, c in DIGITS_OF.get(x, ())]
+                forms = [(f + d, p + q, (*used, *more)) for f, p, used in forms for d, q, more in ways][:64]
+            for f, p, used in forms:
+                if used and p > reached.get(f, (-99.0,))[0]:
+                    reached[f] = (p, used)
         del reached[w]
-        return [(y, p) for y, p in reached.items() if self.word(y) > 0]
+        return [(y, p, used) for y, (p, used) in reached.items() if self.word(y) > 0]
 
     def suspicious(self, w: str) -> bool:
         """Judges a word once; the candidates of a suspicious one are kept in ``odd``."""
@@ -240,7 +292,7 @@ class Model:
         if not w.isdecimal():
             n, same = self.count("w" + w), self.count("s" + w.translate(SKELETON))
             digits = any(c.isdigit() for c in w)
-            if n - ONCE < RARE * same or (digits and n <= 2):
+            if n - ONCE < RARE * same or (digits and n <= 2 * self.unit):
                 found = self.candidates(w)
                 if found:
                     self.odd[w] = found
@@ -253,8 +305,8 @@ class Model:
         n = self.word(w)
         if own:
             # a number with a letter in it is seldom a word of its own
-            n = max(n - 2, 0.002) if any(c.isdigit() for c in w) else max(n - ONCE, 0.02)
-        return max(n, 0.002) / self.total
+            n = max(n - 2, 0.002 * self.unit) if any(c.isdigit() for c in w) else max(n - ONCE, 0.02 * self.unit)
+        return max(n, 0.002 * self.unit) / self.total
 
     def pair(self, a: str, b: str) -> float:
         """Corpus count of two neighbouring words; all numbers are alike here."""
@@ -279,7 +331,7 @@ class Model:
         history = []
         for w in line:
             found = self.odd.get(w)
-            options = [(w, math.log(1 - P_CONFUSION), found is not None)] + [(y, p, False) for y, p in found or ()]
+            options = [(w, math.log(1 - P_CONFUSION), found is not None)] + [(y, p, False) for y, p, _ in found or ()]
             new = []
             for true, channel, own in options:
                 scores = [score + self.step(before, true, own_a, own) for before, score, _, own_a in states]
@@ -382,14 +434,14 @@ class Reader:
 FOUND = "block_id long, document_id string, kind string, keys array<string>, around array<string>, body string"
 
 
-def scan(rows: DataFrame, sketch: dict, words: bool = True) -> DataFrame:
+def scan(rows: DataFrame, learned: dict, words: bool = True) -> DataFrame:
     """block_id, document_id, kind, keys, around, body.
 
     kind is 'hyphen', 'misread', 'inline' or 'furniture' where certain; 'inline?', 'furniture?' and 'heading?' with the keys
     of lines that are damage if the document has such a header, and with the words around a line that is evidence for a header itself; 'header' with the keys of a typed header; 'passage?' with
     the text of a block whose words can be judged only when it is known which of its lines are headers.  Without ``words`` only headers and page numbers are looked for.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(sketch)
+    shared = rows.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):
         reader = Reader(Model(shared.value))
@@ -438,9 +490,9 @@ def scan(rows: DataFrame, sketch: dict, words: bool = True) -> DataFrame:
     return rows.mapInArrow(run, FOUND)
 
 
-def judged(passages: DataFrame, sketch: dict) -> DataFrame:
+def judged(passages: DataFrame, learned: dict) -> DataFrame:
     """block_id, kind: 'hyphen' and 'misread' of passages (block_id, body, drop) without the lines of the headers ``drop``."""
-    shared = passages.sparkSession.sparkContext.broadcast(sketch)
+    shared = passages.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):
         reader = Reader(Model(shared.value))
@@ -464,12 +516,6 @@ def text_blocks(blocks: DataFrame, *more: str) -> DataFrame:
     return blocks.select(F.col("id").cast("long").alias("block_id"), "document_id", "block_type", F.col("text_content").alias("body"), *more).filter(F.length("body") > 0)
 
 
-def learn(rows: DataFrame) -> dict:
-    """The sketch of all passages."""
-    passages = rows.filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer")).select("body")
-    return collect_sketch(corpus_counts(passages))
-
-
 def confirmed_keys(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(document_id, key) of the documents' headers, typed or repeated; (block_id, document_id, kind, key) of the lines in question.
 
@@ -497,15 +543,15 @@ def damage(blocks: DataFrame) -> DataFrame:
     texts and typed headers and footers have no rows; a block that occurs in several rows counts once.
     """
     rows = text_blocks(blocks)
-    sketch = learn(rows)
-    found = materialize(scan(rows, sketch))
+    learned = learn(rows)
+    found = materialize(scan(rows, learned))
     headers, asked = confirmed_keys(found)
     sure = found.filter(F.col("kind").isin("hyphen", "misread", "inline", "furniture")).select("block_id", "kind")
     known = materialize(asked.join(headers, ["document_id", "key"], "left_semi"))
     drop = known.filter("kind = 'inline'").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
     open_ = found.filter("kind = 'passage?'").select("block_id", "body")
     passages = join_checked(open_, drop, ["block_id"], "left", 128).select("block_id", "body", "drop")
-    out = sure.unionByName(known.select("block_id", "kind")).unionByName(judged(passages, sketch)).distinct()
+    out = sure.unionByName(known.select("block_id", "kind")).unionByName(judged(passages, learned)).distinct()
     whole = out.filter("kind = 'furniture'").select("block_id")
     # a block that is furniture as a whole has no passage that could be damaged
     return out.filter("kind = 'furniture'").unionByName(out.filter("kind <> 'furniture'").join(whole, "block_id", "left_anti"))
@@ -519,10 +565,10 @@ def repaired(blocks: DataFrame) -> DataFrame:
     A block that occurs in several identical rows gives one.  Order by block_id reads a document.
     """
     rows = text_blocks(blocks, "page_number").filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer"))
-    sketch = learn(text_blocks(blocks))
-    headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), sketch, words=False)))
+    learned = learn(text_blocks(blocks))
+    headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), learned, words=False)))
     lines = asked.join(headers, ["document_id", "key"], "left_semi").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
-    shared = rows.sparkSession.sparkContext.broadcast(sketch)
+    shared = rows.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):
         reader = Reader(Model(shared.value))

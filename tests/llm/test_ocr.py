@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,40 +101,69 @@ def test_nothing(spark):
     assert ocr.damage(none).count() == 0 and ocr.repaired(none).count() == 0
 
 
-def test_sketch_counts(spark):
-    rows = spark.createDataFrame([("a b c\nd e f",), ("a b c",)], "body string")
-    model = ocr.Model(ocr.collect_sketch(ocr.corpus_counts(rows)))
-    assert [model.word(w) for w in "abcdef"] == [2, 2, 1, 0, 1, 1] and model.pair("a", "b") == 2 and model.pair("c", "d") == 0
-    assert model.total == 7
+def exact(counts, total, numbers=0.0, unit=1.0):
+    """A model of given counts by key."""
+    import xxhash
 
+    keys = np.array([xxhash.xxh64_intdigest(k) for k in counts], np.uint64)
+    return ocr.Model(ocr.table_of(keys, np.array(list(counts.values()), float)) | {"total": total, "numbers": numbers, "unit": unit, "channel": None})
+
+
+def test_counts_are_exact(spark):
+    rng = random.Random(5)
+    words = [f"w{rng.randint(0, 3000)}" for _ in range(20_000)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)] + ["a b c\nd e f", "a b c"]
+    rows = spark.createDataFrame([(t, None) for t in texts], "body string, block_type string")
+    model = ocr.Model(ocr.learn(rows))
+    held = {w: words.count(w) for w in set(words)}
+    assert all(model.word(w) == n for w, n in held.items()) and [model.word(w) for w in "abcdefg"] == [2, 2, 1, 0, 1, 1, 0]
+    assert model.pair("a", "b") == 2 and model.pair("c", "d") == 0 and model.total == len(words) + 7
+    assert model.count("s" + "w12".translate(ocr.SKELETON)) == sum(n for w, n in held.items() if w.translate(ocr.SKELETON) == "w12".translate(ocr.SKELETON))
+
+
+def test_table_of_many_keys():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 64, 300_000, np.uint64, endpoint=False))
+    table = ocr.table_of(keys, np.arange(len(keys), dtype=float) % 1000)
+    assert (np.diff(table["keys"].astype(float)) >= 0).all() and table["starts"][-1] == len(keys)
+    first = (table["keys"] >> np.uint64(table["shift"])).astype(int)
+    at = np.arange(len(keys))
+    assert (table["starts"][first] <= at).all() and (at < table["starts"][first + 1]).all()
+    assert exact({}, 0.0).word("x") == 0.0
+
+
+def test_rare_words_count_as_unseen_at_any_size():
+    """Counts and their bound grow together, so the same text is read the same way."""
+    counts = {"wward": 900, "wwarcl": 1, "sviarei": 0, "pthe ward": 300, "wthe": 5000}
+    counts["s" + "ward".translate(ocr.SKELETON)] = 901
+    small = exact(counts, 1e5)
+    large = exact({k: n * 1000 for k, n in counts.items() if n * 1000 >= 2000}, 1e8, unit=2000.0)
+    for model in (small, large):
+        assert model.suspicious("warcl") and model.decode(["the", "warcl"]) == ["the", "ward"] and not model.suspicious("ward")
 
-def test_compounds_stay():
-    words = {"wtwelve-month": 50, "wmonth": 5, "wtwelve": 5, "wtogether": 40, "wto": 900, "wgether": 0}
 
-    class Fake(ocr.Model):
-        def __init__(self):
-            super().__init__({"cells": __import__("numpy").zeros((ocr.DEPTH, ocr.WIDTH), "float32"), "total": 10_000, "numbers": 0})
+def test_rows_do_not_depend_on_partitions(blocks):
+    found = [{tuple(r) for r in ocr.damage(blocks.repartition(k)).collect()} for k in (1, 4, 64)]
+    assert found[0] == found[1] == found[2]
 
-        def count(self, key):
-            return float(words.get(key, 0))
 
-    model = Fake()
+def test_confusions_are_learned(spark):
+    clean = [(i, "d", "text", "the cold dinner was sold under the old elder tree near the dusty road and the child said hello", 1, "x", "y") for i in range(400)]
+    noisy = [(1000 + i, "d", "text", clean[0][3].replace(*pair, 1), 1, "x", "y") for i, pair in enumerate([("cold", "colcl"), ("road", "roacl"), ("child", "chilcl"), ("old", "olcl")] * 5 + [("elder", "eider")])]
+    chances = ocr.learn(ocr.text_blocks(spark.createDataFrame(clean + noisy, BLOCKS)))["channel"]
+    by = dict(zip(ocr.ALL_CONFUSIONS, chances, strict=True))
+    assert by["cl", "d"] > ocr.P_CONFUSION > by["c", "e"] and max(chances) <= ocr.P_CONFUSION * ocr.FARTHEST
+
+
+def test_compounds_stay():
+    model = exact({"wtwelve-month": 50, "wmonth": 5, "wtwelve": 5, "wtogether": 40, "wto": 900}, 10_000)
     assert model.cut("-", "twelve-", "month") is None
     assert model.cut("-", "to-", "gether") == "together" and model.cut("o", "to", "gether") == "together"
     assert model.cut(".", "to", "gether") is None
 
 
 def test_cuts_do_not_depend_on_words_judged_before():
-    words = {"wto": 5, "wgether": 5, "wtogether": 90_000, "sto": 5, "sgetiier": 5}
-
-    class Fake(ocr.Model):
-        def __init__(self):
-            super().__init__({"cells": __import__("numpy").zeros((ocr.DEPTH, ocr.WIDTH), "float32"), "total": 1_000_000, "numbers": 0})
-
-        def count(self, key):
-            return float(words.get(key, 0))
-
-    fresh, used = Fake(), Fake()
+    fresh, used = (exact({"wto": 5, "wgether": 5, "wtogether": 90_000, "sto": 5, "sgetiier": 5}, 1_000_000) for _ in range(2))
     assert not used.suspicious("to") and not used.suspicious("gether")
     assert fresh.cut("o", "to", "gether") == used.cut("o", "to", "gether") == "together"
 
