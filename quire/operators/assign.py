@@ -33,10 +33,19 @@ def chapter_sections(sections: DataFrame, tops: DataFrame) -> DataFrame:
     return sections.join(places, ["document_id", "order_index"])
 
 
+def pages_within(ranges: DataFrame, blocks: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``ranges`` with each page_number from page_start to page_end that holds a block of the document.
+
+    Only pages with blocks are listed, so a wild page number costs no more than its block.
+    """
+    held = blocks.filter("page_number IS NOT NULL").groupBy("document_id").agg(F.collect_set("page_number").alias("pages"))  # different pages of one document
+    inside = F.filter("pages", lambda p: p.between(F.col("page_start"), F.col("page_end")))
+    return ranges.join(held, "document_id").select(*columns, F.explode(inside).alias("page_number"))
+
+
 def chapter_blocks(blocks: DataFrame, tops: DataFrame) -> DataFrame:
     """document_id, chapter, chapter_pos, id, page_number, block_type, text_content: blocks on the pages of each chapter."""
-    pages = tops.filter("page_end >= page_start").select("document_id", "chapter", "chapter_pos", F.explode(F.sequence("page_start", "page_end")).alias("page_number"))
-    return blocks.join(pages, ["document_id", "page_number"])
+    return blocks.join(pages_within(tops, blocks, "document_id", "chapter", "chapter_pos"), ["document_id", "page_number"])
 
 
 def header_matches(members: DataFrame, inside: DataFrame) -> DataFrame:
@@ -73,7 +82,7 @@ def assign(blocks: DataFrame, sections: DataFrame, preset: Column | None = None)
     order = Window.partitionBy(*keys).orderBy("id", F.col("s").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     placed = marks.unionByName(body.withColumn("s", F.lit(None).cast(marks.schema["s"].dataType))).withColumn("near", F.last("s", ignorenulls=True).over(order)).filter("chapter_pos IS NOT NULL")
     # the most specific section of every page of a chapter
-    covered = members.filter("page_end >= page_start").select(*keys, "level", "page_start", "order_index", F.explode(F.sequence("page_start", "page_end")).alias("page_number"))
+    covered = pages_within(members, blocks, *keys, "level", "page_start", "order_index")
     best = covered.groupBy(*keys, "page_number").agg(F.min_by("order_index", F.struct(-F.col("level"), -F.col("page_start"), "order_index")).alias("covering"))
     fits = F.col("page_number").between(F.col("near.page_start"), F.col("near.page_end"))
     chosen = placed.join(best, [*keys, "page_number"], "left").withColumn("order_index", F.coalesce(F.when(fits, F.col("near.order_index")), F.col("covering")))

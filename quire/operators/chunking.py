@@ -27,6 +27,19 @@ def in_scopes(sections: DataFrame) -> DataFrame:
     return sections.withColumn("top", top).filter("top.level = 2").withColumn("scope", F.col("top.order_index")).drop("top")
 
 
+def duplicate_paths(sections: DataFrame) -> DataFrame:
+    """document_id, heading_path, n: level-2 paths that several sections of one document share."""
+    return sections.filter("level = 2").groupBy("document_id", "heading_path").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def require_distinct_paths(sections: DataFrame) -> DataFrame:
+    """The sections; raises ChunkingError if two level-2 sections of a document share a path, so that their texts can't be told apart by it."""
+    bad = duplicate_paths(sections).limit(3).collect()
+    if bad:
+        raise ChunkingError(f"several sections of the path {', '.join(repr(r['heading_path']) for r in bad)}")
+    return sections
+
+
 def units(sections: DataFrame, assigned: DataFrame, blocks: DataFrame) -> DataFrame:
     """document_id, scope, order_index, content: the units of every level-2 section, in the order of their sections.
 
@@ -123,13 +136,18 @@ def chunk_units(rows: DataFrame, settings: ChunkSettings = ChunkSettings(), coun
     return chunks.select("document_id", "scope", "order_index", F.col("c.content").alias("content"), F.col("c.tokens").alias("token_count"))
 
 
-def parent_chunks(blocks: DataFrame, settings: ChunkSettings = ChunkSettings(), count: TokenCounter = words) -> DataFrame:
-    """Blocks to parent chunks, with the path and the pages of the level-2 section they come from."""
+def parent_chunks(blocks: DataFrame, settings: ChunkSettings = ChunkSettings(), count: TokenCounter = words, strict: bool = False) -> DataFrame:
+    """Blocks to parent chunks, with the path and the pages of the level-2 section they come from.
+
+    Sections are told apart by their place, so equal paths do no harm; with ``strict`` they raise ChunkingError.
+    """
     from quire.operators.assign import assign
     from quire.operators.hierarchy import build_sections
     from quire.plans.materialize import materialize
 
     sections = materialize(build_sections(blocks))
+    if strict:
+        require_distinct_paths(sections)
     chunks = chunk_units(units(sections, assign(blocks, sections), blocks), settings, count)
     heads = sections.select("document_id", F.col("order_index").alias("scope"), "heading_path", "page_start", "page_end")
     return chunks.join(heads, ["document_id", "scope"])

@@ -18,6 +18,46 @@ def tree_lines(sections: DataFrame) -> DataFrame:
     return sections.select("document_id", "order_index", "id", F.concat(indent, F.lit("- "), F.col("heading"), note).alias("line"))
 
 
+def tree_document(sections: DataFrame) -> DataFrame:
+    """document_id, text: the whole section tree of a document as Markdown: title, number of sections and of those per level 1-5, then the tree."""
+    lines = tree_lines(sections).groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order_index", "id", "line"))), lambda x: x["line"]), "\n").alias("tree"))
+    levels = [F.concat(F.lit(f"- Level {k}: "), F.count_if(F.col("level") == k).cast("string")) for k in range(1, 6)]
+    head = F.concat_ws("\n", F.concat(F.lit("Total sections: "), F.count("*").cast("string")), *levels).alias("head")
+    counts = sections.groupBy("document_id").agg(head)
+    title = F.concat(F.lit("# Section hierarchy of "), F.col("document_id"), F.lit("\n\n"))
+    return counts.join(lines, "document_id").select("document_id", F.concat(title, "head", F.lit("\n\n"), "tree", F.lit("\n")).alias("text"))
+
+
+def section_samples(sections: DataFrame, blocks: DataFrame, reach: int = 10) -> DataFrame:
+    """document_id, id, text: every section as Markdown with its parent, siblings, children and blocks.
+
+    Siblings are those within ``reach`` places.  Blocks are listed with page, id and type, and the first 80 characters of their text.
+    """
+    from quire.operators import relations
+
+    named = sections.select("id", "heading")
+
+    def listed(pairs: DataFrame, other: str, title: str) -> DataFrame:
+        rows = pairs.select("id", F.col(other).alias("other")).join(named.select(F.col("id").alias("other"), F.col("heading").alias("name")), "other")
+        items = F.transform(F.array_sort(F.collect_list(F.struct("other", "name"))), lambda x: F.concat(F.lit("- "), x["name"], F.lit(" ("), x["other"].cast("string"), F.lit(")")))
+        return rows.groupBy("id").agg(F.concat(F.lit(f"\n\n## {title}\n\n"), F.array_join(items, "\n")).alias(other))
+
+    parts = [
+        listed(relations.parents(sections), "parent_id", "Parent"),
+        listed(relations.siblings(sections, reach), "sibling_id", "Siblings"),
+        listed(relations.descendants(sections).filter("depth = 1"), "descendant_id", "Children"),
+    ]
+    own = blocks.filter("section_id IS NOT NULL").select(F.col("section_id").alias("id"), F.col("id").alias("block"), "page_number", "block_type", F.coalesce("text_content", "markdown_content", F.lit("")).alias("body"))
+    line = lambda x: F.concat(F.lit("- p. "), _page(x["page_number"]), F.lit(", "), x["block"].cast("string"), F.lit(" ["), F.coalesce(x["block_type"], F.lit("?")), F.lit("] "), x["start"])
+    start = F.translate(F.left("body", F.lit(80)), "\n", " ")
+    parts.append(own.groupBy("id").agg(F.concat(F.lit("\n\n## Blocks\n\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "block", "block_type", start.alias("start")))), line), "\n")).alias("blocks")))
+    rows = sections
+    for part in parts:
+        rows = rows.join(part, "id", "left")
+    note = F.concat_ws("", F.lit("# "), F.col("heading"), F.lit("\n\nLevel "), F.col("level").cast("string"), F.lit(", pages "), _page(F.col("page_start")), F.lit("-"), _page(F.col("page_end")), F.lit("\n\nPath: "), F.col("heading_path"))
+    return rows.select("document_id", "id", F.concat_ws("", note, "parent_id", "sibling_id", "descendant_id", "blocks", F.lit("\n")).alias("text"))
+
+
 def _page(c: Column) -> Column:
     return F.when(c.isNull() | (c == 0), F.lit("?")).otherwise(c.cast("string"))
 

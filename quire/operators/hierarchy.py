@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from quire.errors import SegmentationError
 from quire.functions.predicates import is_front_matter, is_subsection, numbering_level
 from quire.functions.text import pystrip
+from quire.plans.materialize import materialize
 
 MAX_INFERRED = 5
 #: Pages that the last section is given when the document's length is unknown.
@@ -84,14 +85,18 @@ def with_paths(sections: DataFrame, levels: int) -> DataFrame:
     return sections.withColumn("heading_path", F.concat_ws(" > ", *parts, F.col("heading")))
 
 
-def build_sections(blocks: DataFrame) -> DataFrame:
+def build_sections(blocks: DataFrame, page_counts: DataFrame | None = None) -> DataFrame:
     """The section tree of every document that has headings: the columns of sections, and pos.
 
-    Null document ids form one document of their own.
+    ``page_counts`` (document_id, last_page, one row per document) are the known page counts; a document without one, or with
+    0, ends 20 pages after its last heading.  Null document ids form one document of their own.
     """
     leveled = with_positions(with_levels(headings(blocks)))
+    if page_counts is not None:
+        leveled = leveled.join(page_counts.select("document_id", "last_page"), "document_id", "left")
+    leveled = materialize(leveled)  # read twice: for the deepest level and for the tree
     levels = deepest(leveled)
-    tree = with_paths(with_page_ends(leveled, levels), levels)
+    tree = with_paths(with_page_ends(leveled, levels, F.col("last_page") if page_counts is not None else None), levels)
     return tree.select("document_id", "order_index", "pos", "level", "heading", "heading_path", "page_start", "page_end", "native_level", "block_id")
 
 

@@ -145,5 +145,21 @@ def rejected(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def page_count(v: Column) -> Column:
-    """Pages of a document: the list of pages, else the number it names, else 0."""
-    return F.coalesce(F.size(_list(v, "$.pages")), F.try_variant_get(v, "$.page_count", "int"), F.try_variant_get(v, "$.num_pages", "int"), F.lit(0))
+    """Pages of a document: the length of the list or object of pages, else the number it names, else 0; the first key that is present decides."""
+    pages = F.coalesce(F.size(_list(v, "$.pages")), F.size(F.try_variant_get(v, "$.pages", "map<string,variant>")))
+    named = F.when(_has(v, "$.page_count"), F.try_variant_get(v, "$.page_count", "int")).otherwise(F.try_variant_get(v, "$.num_pages", "int"))
+    return F.coalesce(F.when(_has(v, "$.pages"), pages).otherwise(named), F.lit(0))
+
+
+def header_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """document_id, id, block_type, text_content, docling_level, page_number, last_page: the section headers of layout texts as blocks.
+
+    Headers are looked for in ``texts``, else in ``elements``, and nowhere else; ``id`` is the place among the headers, which
+    blank ones count in; ``last_page`` is the page count of the document, 0 if it names none.
+    """
+    rows = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("document_id"), F.explode(F.array(parsed(F.col(text)))).alias("v")).filter(F.col("v").isNotNull())
+    found = F.when(_has(F.col("v"), "$.texts"), _list(F.col("v"), "$.texts")).otherwise(_list(F.col("v"), "$.elements"))
+    heads = F.filter(found, lambda e: block_type(e) == "section_header")
+    e = F.col("e")
+    flat = rows.select("document_id", page_count(F.col("v")).alias("last_page"), F.posexplode(heads).alias("id", "e"))
+    return flat.select("document_id", "id", block_type(e).alias("block_type"), text_content(e).alias("text_content"), heading_level(e).alias("docling_level"), page_no(e).alias("page_number"), "last_page")

@@ -45,6 +45,12 @@ def register(incoming: DataFrame, existing: DataFrame, order: str) -> DataFrame:
     return first.select("checksum_sha256", "row.*")
 
 
+def register_models(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of embedding_metadata to add: one for each incoming model_name that is not there yet, of several the smallest by dimension and version."""
+    fresh = incoming.filter("model_name IS NOT NULL").join(existing.select("model_name").distinct(), "model_name", "left_anti")
+    return fresh.groupBy("model_name").agg(F.min(F.struct("dimension", "docling_version")).alias("row")).select("model_name", "row.*")
+
+
 def sole_document(docs: DataFrame, key: str) -> str | None:
     """The id if there is exactly one document."""
     rows = docs.select(key).limit(2).collect()

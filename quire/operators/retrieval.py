@@ -25,8 +25,9 @@ def l2(a: Column, b: Column) -> Column:
 def knn(queries: DataFrame, vectors: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, chunk_id, distance, rank: the k nearest vectors of each query, ties by smaller id.
 
-    ``queries`` (query_id, embedding) go out in blocks of bounded size; every task keeps the best k of its own
-    vectors per query, and only those are shuffled.  Vectors or queries that are null have no neighbours.
+    ``queries`` (query_id, embedding) go out in blocks of at most ``block`` (a matrix of some tens of MB on the driver and in
+    each task), with one scan of the vectors each; every task keeps the best k of its own vectors per query, and only
+    those are shuffled.  Vectors or queries that are null have no neighbours.
     """
     from pyspark.sql.window import Window
 
@@ -54,23 +55,29 @@ def _nearest(vectors: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) ->
     def run(batches):
         query_ids, queries = shared.value
         norms = (queries**2).sum(1)
-        rows_i: list[np.ndarray] = [np.empty(0, np.int64)]
-        rows_q: list[np.ndarray] = [np.empty(0, np.int64)]
-        rows_d: list[np.ndarray] = [np.empty(0)]
+        # the best k so far of every query, in the order of distance and id; inf where there are fewer
+        best_d = np.full((len(queries), k), np.inf)
+        best_i = np.full((len(queries), k), np.iinfo(np.int64).max)
         for batch in batches:
             v = batch.column(0).to_numpy(zero_copy_only=False)
             m = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64) if len(v) else np.empty((0, queries.shape[1]))
             for a in range(0, len(v), 2048):
-                part = m[a : a + 2048]
-                d = norms[:, None] + (part**2).sum(1)[None, :] - 2 * queries @ part.T
-                take = min(k, d.shape[1])
-                # everything as near as the k-th, so that ties are settled by the id later
-                worst = np.partition(d, take - 1, axis=1)[:, take - 1]
-                qi, vi = np.nonzero(d <= (worst + 1e-9 * (1 + np.abs(worst)))[:, None])
-                rows_q.append(query_ids[qi])
-                rows_i.append(v[a + vi])
-                rows_d.append(np.sqrt(((queries[qi] - part[vi]) ** 2).sum(1)))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows_q)), pa.array(np.concatenate(rows_i)), pa.array(np.concatenate(rows_d))], names=["query_id", "chunk_id", "distance"])
+                part, part_ids = m[a : a + 2048], v[a : a + 2048]
+                near = norms[:, None] + (part**2).sum(1)[None, :] - 2 * queries @ part.T
+                # all that may be nearer than the last of the best; equals are settled below, by exact distance and id
+                worst = best_d[:, -1] ** 2
+                if near.shape[1] > k:
+                    worst = np.minimum(worst, np.maximum(np.partition(near, k - 1, axis=1)[:, k - 1], 0.0))
+                qi, vi = np.nonzero(near <= (worst + 1e-9 * (1 + np.where(np.isfinite(worst), worst, 0.0)))[:, None])
+                for q in np.unique(qi):
+                    some = vi[qi == q] if len(qi) < 50_000 else vi[np.searchsorted(qi, q) : np.searchsorted(qi, q, "right")]
+                    d = np.concatenate([best_d[q], np.sqrt(((queries[q] - part[some]) ** 2).sum(1))])
+                    i = np.concatenate([best_i[q], part_ids[some]])
+                    first = np.lexsort((i, d))[:k]
+                    best_d[q], best_i[q] = d[first], i[first]
+        held = np.isfinite(best_d)
+        rows_q = np.repeat(query_ids, held.sum(1))
+        yield pa.RecordBatch.from_arrays([pa.array(rows_q), pa.array(best_i[held]), pa.array(best_d[held])], names=["query_id", "chunk_id", "distance"])
 
     return vectors.filter("embedding IS NOT NULL").select(F.col("chunk_id").cast("long"), "embedding").mapInArrow(run, "query_id long, chunk_id long, distance double")
 

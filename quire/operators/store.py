@@ -56,6 +56,15 @@ def split_rejects(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return marked.filter(F.size("broken") == 0).drop("broken"), marked.filter(F.size("broken") > 0)
 
 
+def insert(rows: DataFrame, folder: str, table: str) -> tuple[int, int]:
+    """Appends the rows that fulfil the table's conditions; (written, rejected).  Raises SchemaError if none does, also for no rows at all."""
+    counts = rows.select(F.size(violations(table)).alias("n")).agg(F.count_if(F.col("n") == 0), F.count_if(F.col("n") > 0)).first()
+    if not counts[0]:
+        raise SchemaError(f"none of {counts[1]} rows can be written to {table}")
+    split_rejects(rows, table)[0].write.mode("append").parquet(f"{folder}/{table}.parquet")
+    return counts[0], counts[1]
+
+
 def validate(df: DataFrame, table: str) -> None:
     """Raises SchemaError if a column is missing or of another type; further columns are allowed."""
     have = {f.name: f.dataType.simpleString() for f in df.schema}
@@ -75,6 +84,28 @@ def create_all(spark: SparkSession, folder: str) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{folder}/{name}.parquet")
 
 
+def drop_all(spark: SparkSession, folder: str) -> list[str]:
+    """Deletes the tables of a store; the names of those that were there."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    gone = []
+    for name in SCHEMAS:
+        path = jvm.Path(f"{folder}/{name}.parquet")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            gone.append(name)
+    return gone
+
+
+def schema_info(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, column_name, data_type, expected: what the tables hold, and what the store's schema asks of them and they lack (data_type null)."""
+    rows = []
+    for name, df in sorted(tables.items()):
+        wanted = {f.name: f.dataType.simpleString() for f in SCHEMAS.get(name, T.StructType())}
+        have = {f.name: f.dataType.simpleString() for f in df.schema}
+        rows += [(name, c, have.get(c), c in wanted) for c in sorted(wanted.keys() | have.keys())]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, expected boolean")
+
+
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """table_name, n_rows of every table."""
     counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name, df in sorted(tables.items())]
@@ -130,16 +161,13 @@ def update_json(docs: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def list_stores(spark: SparkSession, folder: str) -> DataFrame:
-    """store, n_bytes, n_documents of the stores (folders named *_rag.db) of a folder."""
-    import os
-
-    names = sorted(n for n in os.listdir(folder) if n.endswith("_rag.db"))
-    rows = []
-    for n in names:
-        path = os.path.join(folder, n)
-        size = sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files)
-        rows.append((n, size, spark.read.parquet(f"{path}/documents.parquet").count()))
-    return spark.createDataFrame(rows, "store string, n_bytes long, n_documents long")
+    """store, n_bytes, n_documents of the stores (folders named *_rag.db) of a folder; sizes from a listing of files, no file is read for them."""
+    name = F.regexp_extract("path", r"/([^/]*_rag\.db)/", 1).alias("store")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/*_rag.db").select("path", "length")
+    sizes = files.groupBy(name).agg(F.sum("length").alias("n_bytes"))
+    docs = spark.read.schema(SCHEMAS["documents"]).parquet(f"{folder}/*_rag.db/documents.parquet").select(F.col("_metadata.file_path").alias("path"))
+    counts = docs.groupBy(name).agg(F.count("*").alias("n_documents"))
+    return sizes.join(counts, "store", "left").select("store", "n_bytes", F.coalesce("n_documents", F.lit(0)).alias("n_documents"))
 
 
 def append_new(spark: SparkSession, rows: DataFrame, folder: str, table: str, key: str) -> int:

@@ -150,10 +150,22 @@ _element("m07_element_id", ID, mapping.element_id)
 _element("m08_type", TYPE, mapping.block_type)
 
 
-@query("m04_bbox", f"{ELEMENTS} SELECT doc_id, count(*) AS n, count(CASE WHEN json_type(e, '$.bbox') <> 'NULL' THEN 1 END) AS with_bbox FROM elements GROUP BY doc_id")
+_SIDES = ", ".join(f"coalesce(b->>'$.{c}', b->>'$[{i}]')::DOUBLE AS {c}" for i, c in enumerate("ltrb"))
+
+
+@query(
+    "m04_bbox",
+    f"""{ELEMENTS}, p AS (SELECT doc_id, pos, (generate_subscripts(json_extract(e, '$.prov[*]'), 1) - 1)::INTEGER AS k, unnest(json_extract(e, '$.prov[*]')) AS p FROM elements),
+    boxes AS (SELECT doc_id, pos, -1 AS k, json_extract(e, '$.bbox') AS b FROM elements UNION ALL SELECT doc_id, pos, k, json_extract(p, '$.bbox') FROM p)
+    SELECT doc_id, pos, k, {_SIDES} FROM boxes WHERE json_type(b) <> 'NULL'""",
+)
 def m04_bbox(spark, sf_dir):
-    rows = mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").select("doc_id", mapping.bbox(F.col("e")).alias("bbox"))
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count("bbox").alias("with_bbox"))
+    """The boxes of elements (k -1), which few layouts have, and of their provenances, by the same rule."""
+    rows = mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json")
+    own = rows.select("doc_id", "pos", F.lit(-1).alias("k"), mapping.bbox(F.col("e")).alias("box"))
+    inner = rows.select("doc_id", "pos", F.posexplode(F.try_variant_get("e", "$.prov", "array<variant>")).alias("k", "p")).select("doc_id", "pos", "k", mapping.bbox(F.col("p")).alias("box"))
+    side = lambda c, i: F.coalesce(F.get_json_object("box", f"$.{c}"), F.get_json_object("box", f"$[{i}]")).cast("double").alias(c)
+    return own.unionByName(inner).filter("box IS NOT NULL").select("doc_id", "pos", "k", *[side(c, i) for i, c in enumerate("ltrb")])
 
 
 @query(
@@ -189,19 +201,41 @@ def m12_rejected(spark, sf_dir):
     return mapping.rejected(layouts(spark, sf_dir), "doc_id", "docling_json")
 
 
+#: The first key that is present decides.
+PAGE_COUNT = """coalesce(CASE WHEN json_exists(j, '$.pages') THEN CASE json_type(j, '$.pages') WHEN 'ARRAY' THEN json_array_length(j, '$.pages') WHEN 'OBJECT' THEN len(json_keys(j, '$.pages')) END
+    WHEN json_exists(j, '$.page_count') THEN try_cast(j->>'$.page_count' AS BIGINT) ELSE try_cast(j->>'$.num_pages' AS BIGINT) END, 0)::INTEGER"""
+
+
 @query(
     "h08_page_count",
-    f"{ELEMENTS} SELECT doc_id, coalesce(json_array_length(j, '$.pages'), try_cast(j->>'$.page_count' AS BIGINT), try_cast(j->>'$.num_pages' AS BIGINT), 0)::INTEGER AS n_pages FROM d",
+    f"{ELEMENTS} SELECT doc_id, {PAGE_COUNT} AS n_pages FROM d",
 )
 def h08_page_count(spark, sf_dir):
     rows = docs(spark, sf_dir, "doc_id", mapping.parsed(F.col("docling_json")).alias("v")).filter("v IS NOT NULL")
     return rows.select("doc_id", mapping.page_count(F.col("v")).alias("n_pages"))
 
 
-@query("p05_headers", f"{ELEMENTS} SELECT doc_id, pos, {LEVEL} AS level, e->>'$.text' AS text FROM elements WHERE {TYPE} = 'section_header'")
+#: Headers of texts, else of elements, numbered in their order, with the page count of their document.
+HEADERS = f"""{ELEMENTS}, found AS (SELECT doc_id, {PAGE_COUNT} AS last_page, CASE WHEN json_exists(j, '$.texts') THEN json_extract(j, '$.texts[*]') ELSE json_extract(j, '$.elements[*]') END AS es FROM d),
+each AS (SELECT doc_id, last_page, generate_subscripts(es, 1) AS i, unnest(es) AS e FROM found),
+headers AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS id, {LEVEL} AS level, {TEXT} AS text, {PAGE} AS page, last_page FROM each WHERE {TYPE} = 'section_header')"""
+
+
+@query("p05_headers", f"{HEADERS} SELECT doc_id AS document_id, id, level AS docling_level, text AS text_content, page AS page_number, last_page FROM headers")
 def p05_headers(spark, sf_dir):
-    rows = mapping.elements(layouts(spark, sf_dir), "doc_id", "docling_json").filter(mapping.block_type(F.col("e")) == "section_header")
-    return rows.select("doc_id", "pos", mapping.heading_level(F.col("e")).alias("level"), F.try_variant_get("e", "$.text", "string").alias("text"))
+    return mapping.header_blocks(layouts(spark, sf_dir), "doc_id", "docling_json").drop("block_type")
+
+
+@query(
+    "s06_models",
+    f"""SELECT parser_version AS model_name, min(strlen(title))::INTEGER AS dimension, arg_min(lang, (strlen(title), lang)) AS docling_version FROM documents d WHERE parser_version IS NOT NULL AND doc_id > {EARLIER}
+        AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.parser_version < '2' AND e.parser_version = d.parser_version) AND lang IS NOT NULL GROUP BY parser_version""",
+)
+def s06_models(spark, sf_dir):
+    """Rows for models that are not registered; releases stand for models, those before 2 for the registered ones."""
+    rows = docs(spark, sf_dir, "doc_id", F.col("parser_version").alias("model_name"), F.octet_length("title").alias("dimension"), F.col("lang").alias("docling_version"))
+    middle = docs(spark, sf_dir, "doc_id").agg(F.max("doc_id") / 2).scalar()
+    return registration.register_models(rows.filter((F.col("doc_id") > middle) & F.col("docling_version").isNotNull()), rows.filter("model_name < '2'"))
 
 
 @query("v07_manifest")

@@ -1,7 +1,8 @@
 """Cutting lineage so that a lost executor does not repeat the whole job.
 
-``checkpoint()`` writes to the folder that the cluster names in ``spark.checkpoint.dir``.  Only where that
-setting is absent (tests, a laptop) a folder of our own is chosen.
+``checkpoint()`` writes to the folder that the cluster names in ``spark.checkpoint.dir``.  Only a session on one
+machine (tests, a laptop) gets a folder of our own where that setting is absent; a cluster without it is refused,
+since a folder of each machine would be lost with the machine.
 """
 
 from __future__ import annotations
@@ -12,14 +13,18 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.errors import ConfigurationError
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder in force; sets one only where the session names none."""
+    """The checkpoint folder in force; sets one only where a session on one machine names none."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not named and not sc.master.startswith("local"):
+        raise ConfigurationError("spark.checkpoint.dir must name a folder that all machines share")
     sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "quire-checkpoints"))
     return sc.getCheckpointDir()
 

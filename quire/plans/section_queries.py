@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import predicates, text
 from quire.operators import assign as asg
-from quire.operators import chunking, hierarchy
+from quire.operators import chunking, hierarchy, mapping
+from quire.plans.document_queries import HEADERS, layouts
 from quire.plans.materialize import materialize, spread
 from quire.plans.registry import SQL_PY_WS, Registry, sql_strip, sql_tokens
 from quire.sources.tables import read_table
@@ -160,6 +161,19 @@ def h06_page_end(spark, sf_dir):
     return hierarchy.build_sections(blocks(spark, sf_dir)).select("document_id", "order_index", "page_start", "page_end")
 
 
+LAYOUT_ENDS = ENDS.replace(ONCE, "headers_once AS (SELECT doc_id AS document_id, id, 'section_header' AS block_type, text AS text_content, level AS docling_level, page AS page_number, last_page FROM headers)").replace("FROM once", "FROM headers_once").replace(
+    "SELECT document_id, max(page_start) + 20 AS last_page FROM leveled", "SELECT document_id, coalesce(nullif((SELECT any_value(h.last_page) FROM headers h WHERE h.doc_id = document_id), 0), max(page_start) + 20) AS last_page FROM leveled"
+)
+
+
+@query("h06_layout_ends", f"{HEADERS}, {LAYOUT_ENDS} SELECT document_id, order_index, level, page_start, page_end FROM ended")
+def h06_layout_ends(spark, sf_dir):
+    """Sections from the headers of layout texts: documents that name their page count end with it."""
+    heads = materialize(mapping.header_blocks(layouts(spark, sf_dir), "doc_id", "docling_json"))
+    tree = hierarchy.build_sections(heads, heads.select("document_id", "last_page").distinct())
+    return tree.select("document_id", "order_index", "level", "page_start", "page_end")
+
+
 @query("h07_paths", f"WITH {PATHS} SELECT document_id, order_index, level, heading_path FROM tree")
 def h07_paths(spark, sf_dir):
     return hierarchy.build_sections(blocks(spark, sf_dir)).select("document_id", "order_index", "level", "heading_path")
@@ -252,14 +266,24 @@ def c03_unchunked(spark, sf_dir):
     return chunking.unchunked_blocks(sections, assigned)
 
 
-@query("c05_split", f"SELECT id, {sql_tokens('content')} AS n_tokens FROM (SELECT DISTINCT id, content FROM parent_chunks)")
+@query(
+    "c05_split",
+    f"""WITH c AS (SELECT DISTINCT id, content FROM parent_chunks), l AS (SELECT id, max({sql_tokens('x')}) AS longest FROM (SELECT id, unnest(string_split(content, chr(10))) AS x FROM c) GROUP BY id)
+    SELECT id, {sql_tokens('content')} AS n_tokens, true AS within_limit, {sql_tokens('content')} > 300 AND longest <= 300 AS must_split, CASE WHEN {sql_tokens('content')} > 300 AND longest <= 300 THEN true END AS was_split FROM c LEFT JOIN l USING (id)""",
+)
 def c05_split(spark, sf_dir):
-    """Tokens of all pieces of a chunk cut to 300: none is lost."""
+    """Of all pieces of a chunk cut to 300: their tokens, none of which is lost; whether each is within the limit or one line; and, where no line is longer, that it was cut."""
     from quire.functions.tokens import words
 
     rows = read_table(spark, sf_dir, "parent_chunks").select("id", "content").distinct()
-    pieces = rows.select("id", F.explode_outer(chunking.split_unit(F.col("content"), 300)).alias("p"))
-    return pieces.groupBy("id").agg(F.sum(F.coalesce(words(F.col("p.content")), F.lit(0))).cast("bigint").alias("n_tokens"))
+    longest = F.array_max(F.transform(F.split("content", "\n"), words))
+    must = (words(F.col("content")) > 300) & (longest <= 300)
+    pieces = rows.select("id", must.alias("must_split"), F.explode_outer(chunking.split_unit(F.col("content"), 300)).alias("p"))
+    n = F.coalesce(words(F.col("p.content")), F.lit(0))
+    fits = (n <= 300) | ~F.coalesce(F.col("p.content"), F.lit("")).contains("\n")
+    return pieces.groupBy("id").agg(
+        F.sum(n).cast("bigint").alias("n_tokens"), F.bool_and(fits).alias("within_limit"), F.any_value("must_split").alias("must_split"), F.any_value(F.when(F.col("must_split"), F.lit(True))).alias("m"), F.count("*").alias("n")
+    ).select("id", "n_tokens", "within_limit", "must_split", F.when(F.col("m"), F.col("n") > 1).alias("was_split"))
 
 
 @query(
@@ -293,8 +317,16 @@ def c08_chunks(spark, sf_dir):
     return chunking.parent_chunks(blocks(spark, sf_dir))
 
 
-@query("c10_children", f"SELECT id AS parent_id, {sql_tokens('content')} AS n_tokens FROM (SELECT DISTINCT id, content FROM parent_chunks) WHERE {sql_tokens('content')} > 0")
+@query(
+    "c10_children",
+    f"""WITH c AS (SELECT DISTINCT id, content FROM parent_chunks WHERE {sql_tokens('content')} > 0)
+    SELECT id AS parent_id, {sql_tokens('content')} AS n_tokens, true AS within_limit, {sql_tokens('content')} <= 231 AS one_child, true AS in_order FROM c""",
+)
 def c10_children(spark, sf_dir):
+    """Of the children of a chunk: their tokens, whether each is within the limit or one sentence, that small chunks have one, and that they are numbered from 0."""
     rows = read_table(spark, sf_dir, "parent_chunks").select("id", "content").distinct()
     kids = chunking.child_chunks(rows, "id", "content")
-    return kids.groupBy("parent_id").agg(F.sum("token_count").cast("bigint").alias("n_tokens"))
+    alone = ~F.col("content").rlike(r"(?s)[.!?]\s+\S") & ~F.col("content").contains("\n\n")
+    rows = kids.groupBy("parent_id").agg(F.sum("token_count").cast("bigint").alias("n_tokens"), F.bool_and((F.col("token_count") <= 512) | alone).alias("within_limit"), F.count("*").alias("n"), F.max("chunk_index").alias("last"))
+    # a chunk of fewer tokens than the target is one child, and only such a chunk
+    return rows.select("parent_id", "n_tokens", "within_limit", ((F.col("n") == 1) & (F.col("n_tokens") <= 231)).alias("one_child"), (F.col("last") == F.col("n") - 1).alias("in_order"))

@@ -42,9 +42,11 @@ def s07_reading_order(spark, sf_dir):
     return relations.reading_order(blocks(spark, sf_dir))
 
 
-@query("s08_headers", f"WITH {B} SELECT id, document_id, page_number, text_content FROM b WHERE block_type = 'section_header'")
+@query("s08_headers", "SELECT DISTINCT id, document_id, page_number, text_content, metadata->>'$.docling_label' AS docling_label, len(json_keys(metadata)) AS n_keys FROM raw_blocks WHERE block_type = 'section_header'")
 def s08_headers(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("block_type = 'section_header'").select("id", "document_id", "page_number", "text_content")
+    """Header blocks with decoded metadata."""
+    rows = read_table(spark, sf_dir, "raw_blocks").filter("block_type = 'section_header'").select("id", "document_id", "page_number", "text_content", F.from_json("metadata", "map<string,string>").alias("m"))
+    return rows.select("id", "document_id", "page_number", "text_content", F.try_element_at("m", F.lit("docling_label")).alias("docling_label"), F.when(F.col("m").isNotNull(), F.size("m")).cast("bigint").alias("n_keys")).distinct()
 
 
 @query("s13_rejects", "SELECT count(*) FILTER (WHERE ok) AS written, count(*) FILTER (WHERE NOT ok) AS rejected FROM (SELECT coalesce(text_content IS NOT NULL OR markdown_content IS NOT NULL, false) AND block_type IS NOT NULL AND page_number IS NOT NULL AS ok FROM raw_blocks)")
@@ -132,6 +134,16 @@ def s21_tree(spark, sf_dir):
     return export.tree_lines(sections(spark, sf_dir))
 
 
+@query(
+    "s21_report",
+    f"""WITH {S}, l AS (SELECT document_id, order_index, id, repeat('  ', level - 1) || '- ' || heading || coalesce(CASE WHEN page_start = page_end THEN ' (page ' || page_start || ')' ELSE ' (pages ' || page_start || '-' || page_end || ')' END, '') AS line, level FROM s)
+    SELECT document_id, '# Section hierarchy of ' || document_id || chr(10) || chr(10) || 'Total sections: ' || count(*) || chr(10) || {" || chr(10) || ".join(f"'- Level {k}: ' || count(*) FILTER (WHERE level = {k})" for k in range(1, 6))}
+        || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY order_index, id) || chr(10) AS text FROM l GROUP BY document_id""",
+)
+def s21_report(spark, sf_dir):
+    return export.tree_document(sections(spark, sf_dir))
+
+
 @query(
     "s22_markdown",
     f"WITH {S}, {C} SELECT s.order_index AS section_order, c.id, '## Chunk ' || c.id || chr(10) || chr(10) || '**' || s.heading_path || '** (pages ' || coalesce(nullif(c.page_start, 0)::VARCHAR, '?') || '-' || coalesce(nullif(c.page_end, 0)::VARCHAR, '?') || ', ' "
@@ -141,10 +153,25 @@ def s22_markdown(spark, sf_dir):
     return export.chunk_markdown(chunks(spark, sf_dir), sections(spark, sf_dir))
 
 
-@query("s26_schema", "SELECT 'parent_chunks' AS table_name, 0 AS n_missing UNION ALL SELECT 'raw_blocks', 0 UNION ALL SELECT 'sections', 0")
+#: DuckDB's names of the types; the schema of a store asks for the columns that are listed.
+_TYPES = "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'TIMESTAMP' THEN 'timestamp' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' WHEN 'BLOB' THEN 'binary' WHEN 'STRUCT(l DOUBLE, t DOUBLE, r DOUBLE, b DOUBLE)' THEN 'struct<l:double,t:double,r:double,b:double>' END"
+_ASKED = {
+    "documents": "id title version_label source_url checksum_sha256 pdf_bytes docling_json created_at",
+    "parent_chunks": "id section_id content token_count page_start page_end metadata created_at",
+    "raw_blocks": "id document_id section_id block_type text_content markdown_content page_number page_range docling_level bbox is_continuation element_id metadata created_at",
+    "sections": "id document_id level heading heading_path order_index page_start page_end metadata created_at",
+}
+
+
+@query(
+    "s26_schema",
+    f"SELECT table_name, column_name, {_TYPES} AS data_type, "
+    + " OR ".join(f"(table_name = '{t}' AND column_name IN ({', '.join(repr(c) for c in names.split())}))" for t, names in _ASKED.items())
+    + f" AS expected FROM information_schema.columns WHERE table_name IN ({', '.join(repr(t) for t in _ASKED)})",
+)
 def s26_schema(spark, sf_dir):
-    rows = [(t, len(store.missing_columns(read_table(spark, sf_dir, t), t))) for t in ("parent_chunks", "raw_blocks", "sections")]
-    return spark.createDataFrame(rows, "table_name string, n_missing int")
+    """Columns and types of the stored tables against the schema of a store."""
+    return store.schema_info({t: read_table(spark, sf_dir, t) for t in _ASKED})
 
 
 STATS = ("documents", "embeddings", "parent_chunks", "raw_blocks", "sections")
@@ -331,6 +358,30 @@ def q06_sections(spark, sf_dir):
     return sections(spark, sf_dir).withColumn("n", first).filter("n <= 10").select("document_id", "id", "level", "heading")
 
 
+def _listed(pairs: str, other: str, title: str) -> str:
+    return f"SELECT x.id, chr(10) || chr(10) || '## {title}' || chr(10) || chr(10) || string_agg('- ' || o.heading || ' (' || o.id || ')', chr(10) ORDER BY o.id, o.heading) AS {other} FROM ({pairs}) x JOIN s o ON o.id = x.other GROUP BY x.id"
+
+
+def _p(x: str) -> str:
+    return f"coalesce(nullif({x}, 0)::VARCHAR, '?')"
+
+
+@query(
+    "s24_markdown",
+    f"""WITH {S}, {B}, k AS (SELECT *, coalesce({UP}, '') AS up FROM s),
+    parent AS ({_listed("SELECT u.id, min(p.id) AS other FROM k u JOIN s p ON p.document_id = u.document_id AND p.heading_path = nullif(u.up, '') GROUP BY u.id", "parent", "Parent")}),
+    sibling AS ({_listed("SELECT a.id, b.id AS other FROM k a JOIN k b ON a.document_id = b.document_id AND a.level = b.level AND a.up = b.up AND b.order_index BETWEEN a.order_index - 10 AND a.order_index + 10 AND a.id <> b.id", "sibling", "Siblings")}),
+    child AS ({_listed("SELECT a.id, d.id AS other FROM s a JOIN s d ON d.document_id = a.document_id AND d.level = a.level + 1 AND starts_with(d.heading_path, a.heading_path || ' > ')", "child", "Children")}),
+    own AS (SELECT section_id AS id, chr(10) || chr(10) || '## Blocks' || chr(10) || chr(10) || string_agg('- p. ' || {_p("page_number")} || ', ' || id || ' [' || coalesce(block_type, '?') || '] ' || replace(left(coalesce(text_content, markdown_content, ''), 80), chr(10), ' '), chr(10) ORDER BY page_number, id) AS own
+        FROM b WHERE section_id IS NOT NULL GROUP BY section_id)
+    SELECT document_id, id, '# ' || heading || chr(10) || chr(10) || 'Level ' || level || ', pages ' || {_p("page_start")} || '-' || {_p("page_end")} || chr(10) || chr(10) || 'Path: ' || heading_path
+        || coalesce(parent, '') || coalesce(sibling, '') || coalesce(child, '') || coalesce(own, '') || chr(10) AS text FROM s LEFT JOIN parent USING (id) LEFT JOIN sibling USING (id) LEFT JOIN child USING (id) LEFT JOIN own USING (id)""",
+)
+def s24_markdown(spark, sf_dir):
+    """Every section as Markdown with its parent, siblings, children and blocks."""
+    return export.section_samples(sections(spark, sf_dir), blocks(spark, sf_dir))
+
+
 @query("s24_sample", f"WITH {S}, {B}, k AS (SELECT *, coalesce({UP}, '') AS up FROM s) SELECT a.id, (SELECT count(*) FROM k b WHERE b.document_id = a.document_id AND b.level = a.level AND b.up = a.up AND b.order_index BETWEEN a.order_index - 10 AND a.order_index + 10 AND b.id <> a.id) AS n_siblings, (SELECT count(*) FROM b WHERE b.section_id = a.id) AS n_blocks FROM k a")
 def s24_sample(spark, sf_dir):
     rows = sections(spark, sf_dir)
@@ -384,10 +435,13 @@ def v05_review(spark, sf_dir):
     return qa.review_sample(chunks(spark, sf_dir), sections(spark, sf_dir))
 
 
-@query("v03_models", "SELECT 'text-embedding-3-small' AS model_name, (SELECT len(embedding) FROM embeddings WHERE embedding IS NOT NULL LIMIT 1)::INTEGER AS dimension, count(*) AS n FROM embeddings")
+@query("v03_models", "SELECT 'text-embedding-3-small' AS model_name, len(embedding)::INTEGER AS dimension, count(*) AS n, min(vec_id) AS first_id, round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 3) AS total FROM embeddings WHERE embedding IS NOT NULL GROUP BY len(embedding)")
 def v03_models(spark, sf_dir):
-    v = read_table(spark, sf_dir, "embeddings")
-    return v.agg(F.max(F.size("embedding")).alias("dimension"), F.count("*").alias("n")).select(F.lit("text-embedding-3-small").alias("model_name"), "dimension", "n")
+    """What embedding metadata says of the stored vectors: one row per dimension."""
+    v = read_table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    rows = v.groupBy(F.size("embedding").alias("dimension")).agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"), F.round(F.sum(total), 3).alias("total"))
+    return rows.select(F.lit("text-embedding-3-small").alias("model_name"), "dimension", "n", "first_id", "total")
 
 
 def document_key_of(spark, sf_dir):

@@ -167,3 +167,47 @@ def test_guard_and_settings(spark):
 
 def test_words_counts_null(spark):
     assert spark.range(1).select(words(F.lit(None).cast("string"))).first()[0] == 0
+
+
+def test_known_page_counts_end_a_document(spark):
+    rows = [(1, "a", "section_header", "1 A", None, 2, None), (2, "a", "section_header", "2 B", None, 5, None), (3, "b", "section_header", "1 A", None, 2, None), (4, "c", "section_header", "1 A", None, 3, None)]
+    counts = spark.createDataFrame([("a", 40), ("b", 0)], "document_id string, last_page int")
+    got = {(r["document_id"], r["order_index"]): r["page_end"] for r in hierarchy.build_sections(spark.createDataFrame(rows, BLOCKS), counts).collect()}
+    assert got == {("a", 0): 4, ("a", 1): 40, ("b", 0): 22, ("c", 0): 23}
+
+
+def test_wild_page_numbers_cost_nothing(spark):
+    rows = [(1, "d", "section_header", "1 A", None, 1, None), (2, "d", "text", "x", None, 2_000_000_000, None), (3, "d", "section_header", "1.1 B", None, 2, None), (4, "d", "text", "y", None, 2, None), (5, "d", "section_header", "2 C", None, 2_000_000_001, None)]
+    df = spark.createDataFrame(rows, BLOCKS)
+    got = {r["id"]: r["order_index"] for r in assign.assign(df, hierarchy.build_sections(df)).collect()}
+    assert got == {1: 0, 2: 0, 3: 1, 4: 1, 5: 2}
+
+
+def test_preset_headers_win(spark):
+    rows = [(1, "d", "section_header", "1 A", None, 1, None), (2, "d", "text", "x", None, 1, None), (3, "d", "section_header", "1.1 B", None, 1, None), (4, "d", "text", "y", None, 1, None)]
+    df = spark.createDataFrame(rows, BLOCKS)
+    sections = hierarchy.build_sections(df)
+    assert {r["id"]: r["order_index"] for r in assign.assign(df, sections).collect()} == {1: 0, 2: 0, 3: 1, 4: 1}
+    named = sections.withColumn("named", F.when(F.col("order_index") == 1, F.lit(2).cast("bigint")))
+    assert {r["id"]: r["order_index"] for r in assign.assign(df, named, F.col("named")).collect()} == {1: 0, 2: 1, 3: 1, 4: 1}
+
+
+def test_strict_chunking_refuses_equal_paths(spark):
+    heads = [("1 A", 1), ("1.1 B", 1), ("1.1 B", 2)]
+    rows = [(i, "d", "section_header", h, None, page, None) for i, (h, page) in enumerate(heads)] + [(10, "d", "text", "some words", None, 1, None)]
+    df = spark.createDataFrame(rows, BLOCKS)
+    assert [tuple(r) for r in chunking.duplicate_paths(hierarchy.build_sections(df)).collect()] == [("d", "1 A > 1.1 B", 2)]
+    assert chunking.parent_chunks(df).count() >= 1
+    with pytest.raises(ChunkingError, match="1.1 B"):
+        chunking.parent_chunks(df, strict=True)
+
+
+def test_two_small_chunks_never_end_a_section(spark):
+    """The merge of a small last chunk with a small one before it can't occur: a chunk is closed at the target, or before a unit that would pass the limit."""
+    rng = random.Random(8)
+    rows = [(i, [("w " * n, n) for n in (rng.randint(1, 2000) for _ in range(rng.randint(1, 12)))]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, parts array<struct<content:string,tokens:int>>")
+    for r in df.select("parts", chunking.pack_units(F.col("parts"), 1500, 2000).alias("c")).collect():
+        sizes = [c["tokens"] for c in r["c"]]
+        assert sum(sizes) == sum(p["tokens"] for p in r["parts"]) and max(sizes) <= 2000
+        assert len(sizes) < 2 or sizes[-1] + sizes[-2] > 2000 or sizes[-2] >= 1500

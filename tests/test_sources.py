@@ -41,3 +41,26 @@ def test_stream_registers_once(spark, tmp_path):
         query.awaitTermination(120)
         assert query.exception() is None
         assert sorted(map(tuple, spark.read.parquet(str(table)).collect())) == [("h0", "old", 0), ("h1", "a", 2)]
+
+
+def test_layouts_by_file_source_and_uri(spark, tmp_path):
+    from quire.sources.layout import read_layouts
+
+    (tmp_path / "a.json").write_text('{"é": 1}')
+    (tmp_path / "b.txt").write_text("x")
+    enable(spark)
+    frames = [read_layouts(spark, str(tmp_path)), spark.read.format("layout_json").load(tmp_path.as_uri())]
+    digest = hashlib.sha256('{"é": 1}'.encode()).hexdigest()
+    assert [[tuple(r) for r in f.collect()] for f in frames] == [[("a.json", digest, '{"é": 1}')]] * 2
+
+
+def test_a_cluster_without_checkpoint_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    from quire.errors import ConfigurationError
+    from quire.plans.materialize import ensure_checkpoint_dir
+
+    unset = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getConf=lambda: unset, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ConfigurationError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=unset))

@@ -185,3 +185,43 @@ def test_stores_and_parser_outputs(spark, tmp_path):
     export.write_parser_outputs(docs, "n", "m", "j", str(tmp_path / "out"))
     assert [tuple(r) for r in spark.read.text(str(tmp_path / "out" / "markdown")).collect()] == [("# x", "d1")]
     assert spark.read.text(str(tmp_path / "out" / "json")).count() == 2
+
+
+def test_insert_drop_and_info(spark, tmp_path):
+    folder = str(tmp_path / "s")
+    store.create_all(spark, folder)
+    chunks = spark.createDataFrame([(1, 1, "text", 3), (2, 1, "", 3), (3, 1, "x", 0)], "id bigint, section_id bigint, content string, token_count int")
+    assert store.insert(chunks, folder, "parent_chunks") == (1, 2)
+    for bad in (chunks.filter("id > 1"), chunks.limit(0)):
+        with pytest.raises(SchemaError):
+            store.insert(bad, folder, "parent_chunks")
+    info = {r["column_name"]: (r["data_type"], r["expected"]) for r in store.schema_info({"sections": spark.createDataFrame([(1, "x")], "id bigint, more string")}).collect()}
+    assert info["id"] == ("bigint", True) and info["more"] == ("string", False) and info["level"] == (None, True)
+    assert store.drop_all(spark, folder) == list(store.SCHEMAS) and store.drop_all(spark, folder) == []
+
+
+def test_models_are_registered_once(spark):
+    from quire.operators.registration import register_models
+
+    rows = spark.createDataFrame([("a", 3, "1"), ("b", 4, "2"), ("b", 3, "9"), (None, 1, "1")], "model_name string, dimension int, docling_version string")
+    have = spark.createDataFrame([("a",)], "model_name string")
+    assert [tuple(r) for r in register_models(rows, have).collect()] == [("b", 3, "9")]
+
+
+def test_nearest_with_many_equal_vectors(spark):
+    """A third of the vectors are one and the same; ties go to the smaller id, across batches and tasks."""
+    import numpy as np
+
+    from quire.operators.retrieval import knn
+
+    rng = np.random.default_rng(2)
+    v = [[0.5, 0.5] if i % 3 == 0 else [float(x) for x in rng.random(2)] for i in range(6000)]
+    vectors = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "chunk_id bigint, embedding array<float>").repartition(3)
+    q = [(0, [0.5, 0.5]), (1, [0.1, 0.9]), (2, [0.5, 0.52])]
+    got = {}
+    for r in knn(spark.createDataFrame(q, "query_id bigint, embedding array<float>"), vectors, 7, block=2).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["chunk_id"]))
+    a = np.array(v, dtype=np.float32).astype(float)
+    for i, x in q:
+        d = np.sqrt(((a - np.array(x, dtype=np.float32).astype(float)) ** 2).sum(1))
+        assert [c for _, c in sorted(got[i])] == np.lexsort((np.arange(len(v)), d))[:7].tolist()
