@@ -50,6 +50,15 @@ def small_enough(df: DataFrame, row_bytes: int, limit_bytes: int) -> bool:
     return df.limit(limit_bytes // row_bytes + 1).count() * row_bytes <= limit_bytes
 
 
+def once(df: DataFrame, key: str) -> DataFrame:
+    """Rows without exact repetitions, where most keys have one row: only keys are shuffled, and the rows of keys that have several."""
+    k = F.col(key)
+    several = materialize(df.groupBy(k).agg(F.count("*").alias("n")).filter("n > 1").select(k.alias("repeated")))
+    keys = F.broadcast(several) if small_enough(several, 32, 32 << 20) else several
+    same = k.eqNullSafe(F.col("repeated"))
+    return df.join(keys, same, "left_anti").unionByName(df.join(keys, same, "left_semi").dropDuplicates())
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, row_bytes: int, limit_bytes: int = 32 << 20) -> DataFrame:
     """Broadcast ``right`` when it is counted small, otherwise join by shuffle (AQE splits hot keys)."""
     return left.join(F.broadcast(right) if small_enough(right, row_bytes, limit_bytes) else right, on, how)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import export, hierarchy, qa, registration, relations, retrieval, statistics, store, tables
+from quire.plans.materialize import once
 from quire.plans.registry import Registry, sql_strip
 from quire.sources.tables import read_table
 
@@ -22,11 +23,11 @@ def sections(spark, sf_dir):
 
 
 def chunks(spark, sf_dir):
-    return read_table(spark, sf_dir, "parent_chunks").select("id", "section_id", "content", "token_count", "page_start", "page_end").distinct()
+    return once(read_table(spark, sf_dir, "parent_chunks").select("id", "section_id", "content", "token_count", "page_start", "page_end"), "id")
 
 
 def blocks(spark, sf_dir):
-    return read_table(spark, sf_dir, "raw_blocks").select("id", "document_id", "section_id", "block_type", "text_content", "markdown_content", "page_number").dropDuplicates(["id"])
+    return once(read_table(spark, sf_dir, "raw_blocks").select("id", "document_id", "section_id", "block_type", "text_content", "markdown_content", "page_number"), "id")
 
 
 @query("h17_no_chapter", f"WITH {S} SELECT document_id FROM s GROUP BY document_id HAVING count(*) FILTER (WHERE level = 1) = 0")

@@ -225,3 +225,12 @@ def test_nearest_with_many_equal_vectors(spark):
     for i, x in q:
         d = np.sqrt(((a - np.array(x, dtype=np.float32).astype(float)) ** 2).sum(1))
         assert [c for _, c in sorted(got[i])] == np.lexsort((np.arange(len(v)), d))[:7].tolist()
+
+
+def test_once(spark):
+    from quire.plans.materialize import once
+
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d"), (None, None)]
+    got = once(spark.createDataFrame(rows, "id int, t string"), "id")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(set(rows), key=str)
+    assert once(got.limit(0), "id").count() == 0
