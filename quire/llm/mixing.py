@@ -38,7 +38,8 @@ def source_name(col: Column) -> Column:
 
 def legible(text: Column) -> Column:
     """Share of letters, marks and digits of any script among the visible characters; damage, markup and noise lower it."""
-    return F.regexp_count(text, F.lit(r"[\p{L}\p{M}\p{Nd}]")) / F.greatest(F.regexp_count(text, F.lit(r"(?U)\S")), F.lit(1))
+    letters, visible = (F.length(F.regexp_replace(text, other, "")) for other in (r"[^\p{L}\p{M}\p{Nd}]++", r"(?U)\s++"))
+    return letters / F.greatest(visible, F.lit(1))
 
 
 def with_tokens(rows: DataFrame, path: str) -> DataFrame:
