@@ -36,11 +36,22 @@ def chapter_sections(sections: DataFrame, tops: DataFrame) -> DataFrame:
 def pages_within(ranges: DataFrame, blocks: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of ``ranges`` with each page_number from page_start to page_end that holds a block of the document.
 
-    Only pages with blocks are listed, so a wild page number costs no more than its block.
+    The pages of a document that hold blocks are numbered, and a range becomes one of these numbers, so a wild page number
+    costs no more than its block.  Bounds find their numbers in one pass over a document's pages and ranges.
     """
-    held = blocks.filter("page_number IS NOT NULL").groupBy("document_id").agg(F.collect_set("page_number").alias("pages"))  # different pages of one document
-    inside = F.filter("pages", lambda p: p.between(F.col("page_start"), F.col("page_end")))
-    return ranges.join(held, "document_id").select(*columns, F.explode(inside).alias("page_number"))
+    pages = blocks.filter("page_number IS NOT NULL").select("document_id", "page_number").distinct()
+    bounds = ranges.filter("page_end >= page_start").withColumn("bounds", F.struct(*columns))
+    low = bounds.select("document_id", (F.col("page_start").cast("long") - 1).alias("at"), F.lit(True).alias("low"), "bounds", "page_start", "page_end")
+    high = bounds.select("document_id", F.col("page_end").cast("long").alias("at"), F.lit(False).alias("low"), "bounds", "page_start", "page_end")
+    marks = low.unionByName(high).unionByName(pages.select("document_id", F.col("page_number").cast("long").alias("at"), F.col("page_number")), allowMissingColumns=True)
+    # pages come before the bounds of their number
+    upto = F.count("page_number").over(Window.partitionBy("document_id").orderBy("at", F.col("page_number").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    numbered = marks.withColumn("upto", upto)
+    spans = numbered.filter("low IS NOT NULL").groupBy("document_id", "bounds", "page_start", "page_end").agg(F.min("upto").alias("a"), F.max("upto").alias("b")).filter("b > a")
+    inside = spans.select("document_id", "bounds", F.explode(F.sequence(F.col("a") + 1, "b")).alias("upto"))
+    held = numbered.filter("low IS NULL").select("document_id", "upto", "page_number")
+    rows = inside.join(held, ["document_id", "upto"])
+    return rows.select(*[F.col("document_id") if c == "document_id" else F.col(f"bounds.{c}").alias(c) for c in columns], "page_number")
 
 
 def chapter_blocks(blocks: DataFrame, tops: DataFrame) -> DataFrame:

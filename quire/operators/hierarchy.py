@@ -65,8 +65,9 @@ def with_page_ends(sections: DataFrame, levels: int, last_page: Column | None =
 
     The last of a rank ends with ``last_page``, or 20 pages after the last start if that is null or 0.
     """
-    after = Window.partitionBy("document_id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    nexts = [F.first(F.when(F.col("level") <= k, F.col("page_start")), ignorenulls=True).over(after) for k in range(1, levels + 1)]
+    # from the end, so that the frame only grows: what follows is found in one pass over a document
+    after = Window.partitionBy("document_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    nexts = [F.last(F.when(F.col("level") <= k, F.col("page_start")), ignorenulls=True).over(after) for k in range(1, levels + 1)]
     sections = sections.withColumn("next_start", F.element_at(F.array(*nexts), F.col("level")))
     guess = F.max("page_start").over(Window.partitionBy("document_id")) + UNKNOWN_TAIL
     end = F.coalesce(F.when(last_page > 0, last_page), guess) if last_page is not None else guess
