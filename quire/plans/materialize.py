@@ -10,7 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.errors import ConfigurationError
@@ -59,6 +62,41 @@ def once(df: DataFrame, key: str) -> DataFrame:
     return df.join(keys, same, "left_anti").unionByName(df.join(keys, same, "left_semi").dropDuplicates())
 
 
+def may_be_in(column: str, keys: DataFrame, most_bits: int = 28) -> Column:
+    """Whether the long ``column`` may be among those of ``keys``, by a bitmap: true for all that are, and for few others.
+
+    The bitmap has eight bits per key and 2^most_bits at most (32 MB), so it is broadcast whatever the number of keys; beyond
+    that it lets more through.  It is for taking rows out before a join by shuffle, not for deciding.
+    """
+    spark = keys.sparkSession
+    bits = min(most_bits, max(16, (8 * max(1, keys.count())).bit_length()))
+    width = min(1 << bits, 1 << 23)
+    place = F.pmod(F.col(column), F.lit(1 << bits))
+    rows = keys.select(place.alias("i")).withColumn("slice", F.floor(F.col("i") / width).cast("int")).repartition((1 << bits) // width, "slice")
+
+    def slices(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            i, part = (c.to_numpy() for c in batch.columns)
+            for p in np.unique(part):
+                at = i[part == p] - int(p) * width
+                np.bitwise_or.at(held.setdefault(int(p), np.zeros(width // 8, np.uint8)), at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([h.tobytes() for h in held.values()], pa.binary())], names=["slice", "bitmap"])
+
+    bitmap = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows.mapInArrow(slices, "slice int, bitmap binary").collect():  # the bitmap, in slices
+        a = r["slice"] * width // 8
+        bitmap[a : a + width // 8] |= np.frombuffer(r["bitmap"], np.uint8)
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def member(values: pd.Series) -> pd.Series:
+        i = values.to_numpy() & ((1 << bits) - 1)
+        return pd.Series((shared.value[i >> 3] >> (i & 7)) & 1 == 1)
+
+    return member(F.col(column))
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, row_bytes: int, limit_bytes: int = 32 << 20) -> DataFrame:
     """Broadcast ``right`` when it is counted small, otherwise join by shuffle (AQE splits hot keys)."""
     return left.join(F.broadcast(right) if small_enough(right, row_bytes, limit_bytes) else right, on, how)

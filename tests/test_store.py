@@ -234,3 +234,14 @@ def test_once(spark):
     got = once(spark.createDataFrame(rows, "id int, t string"), "id")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(set(rows), key=str)
     assert once(got.limit(0), "id").count() == 0
+
+
+def test_may_be_in(spark):
+    from quire.plans.materialize import may_be_in
+
+    keys = spark.range(0, 30_000, 3).select(F.xxhash64("id").alias("k"))
+    rows = spark.range(30_000).select("id", F.xxhash64("id").alias("k"))
+    for most_bits in (16, 28):
+        got = {r["id"] for r in rows.filter(may_be_in("k", keys, most_bits)).collect()}
+        assert set(range(0, 30_000, 3)) <= got and len(got) < (30_000 if most_bits == 16 else 13_000)
+    assert rows.filter(may_be_in("k", keys.limit(0))).count() == 0
