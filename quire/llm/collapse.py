@@ -7,7 +7,8 @@ Records are grouped by root digest; where a digest has more than one record, the
 compared, and structures that share a digest without being equal are kept apart.
 
 Texts are normalised once and only ids and digests are shuffled, combined per task before.  Whole structures are
-built and shuffled only for records whose digest is shared, each different one once per task.  Everything is built
+built and shuffled only for records whose digest is shared, each different one once per task; other records are told
+by a bitmap of bounded size and stay where they are.  Everything is built
 from JVM expressions.  Classes that hold a thousandth of all rows (a thousand classes at most, by counting) are
 joined by broadcast where copies are listed, the others by shuffle.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.whitespace import LINE_ENDS, char_class
-from quire.plans.materialize import join_checked, materialize, spread
+from quire.plans.materialize import join_checked, materialize, may_be_in, small_enough, spread
 
 HOT_SHARE = 0.001
 
@@ -91,6 +92,20 @@ class Records(NamedTuple):
     shared: DataFrame
 
 
+def looked_up(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined with ``keys`` by item_id and h ('inner' or 'left'): by broadcast if the keys are few.
+
+    Otherwise only rows that a bitmap doesn't rule out are shuffled, so that the texts of records without copies stay
+    where they are.
+    """
+    on = ["item_id", "h"]
+    if small_enough(keys, 96, 32 << 20):
+        return rows.join(F.broadcast(keys), on, how)
+    marked = rows.withColumn("maybe", may_be_in("h", keys))
+    some = marked.filter("maybe").drop("maybe").join(keys, on, how)
+    return some if how == "inner" else some.unionByName(marked.filter("NOT maybe").drop("maybe"), allowMissingColumns=True)
+
+
 def classes(df: DataFrame, key: str, body: str, node: Node, counts: Column | None = None) -> Records:
     """Digests of all records, and classes of those whose digest occurs more than once.
 
@@ -105,7 +120,7 @@ def classes(df: DataFrame, key: str, body: str, node: Node, counts: Column | Non
     several = materialize(ids.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
     same = materialize(join_checked(ids, several, ["digest"], "inner", 48).select("item_id", "h", "digest").distinct())
     # whole structures, of the rows in question only
-    asked = join_checked(rows.drop("digest"), same, ["item_id", "h"], "inner", 64)
+    asked = looked_up(rows.drop("digest"), same, "inner")
     structures = asked.groupBy("digest", "whole").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("*").alias("n"))
     apart = materialize(structures.filter("n > 1").select("digest"))
     shared = same.withColumn("class_key", F.col("digest"))
@@ -126,7 +141,7 @@ def collapse(df: DataFrame, key: str, body: str, node: Node, counts: Column | No
     rows counts once per record.  Records that no other row shares pass through without a shuffle.
     """
     held = classes(df, key, body, node, counts)
-    marked = join_checked(held.rows, held.shared, ["item_id", "h"], "left", 96)
+    marked = looked_up(held.rows, held.shared, "left")
     alone = marked.filter("class_key IS NULL").select(F.col("item_id").alias("first_id"), F.lit(1).cast("long").alias("n_items"), F.col("body").alias("passage"))
     numbers = held.shared.select("class_key", "item_id").distinct().groupBy("class_key").agg(F.count("*").alias("n_items"))
     first = marked.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min(F.struct("item_id", "body")).alias("first"))

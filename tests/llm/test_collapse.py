@@ -118,3 +118,13 @@ def test_nothing_and_long(spark):
     assert collapse.collapse(table(spark, []), "id", "text", node()).count() == 0
     long = "word " * 200_000
     assert [tuple(r) for r in collapse.copies(table(spark, [(1, long, "t"), (2, long.upper(), "t")]), "id", "text", node()).collect()] == [(1, 2)]
+
+
+def test_many_shared_digests(spark, monkeypatch):
+    """What is no longer broadcast gives the same rows by bitmap and shuffle."""
+    rows = cases()
+    df = table(spark, rows)
+    frames = lambda: [collapse.copies(df, "id", "text", node(F.col("kind") == "kv")), collapse.collapse(df, "id", "text", node(F.col("kind") == "kv"))]
+    expected = [sorted(map(tuple, f.collect())) for f in frames()]
+    monkeypatch.setattr(collapse, "small_enough", lambda *a: False)
+    assert [sorted(map(tuple, f.collect())) for f in frames()] == expected
