@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.whitespace import LINE_ENDS
-from quire.plans.materialize import join_checked, materialize, spread
+from quire.plans.materialize import join_checked, materialize, once, spread
 
 #: Look-alikes as they appear, and what they stand for.
 CONFUSIONS = (
@@ -565,6 +565,7 @@ def repaired(blocks: DataFrame) -> DataFrame:
     A block that occurs in several identical rows gives one.  Order by block_id reads a document.
     """
     rows = text_blocks(blocks, "page_number").filter(~F.coalesce(F.col("block_type"), F.lit("")).isin("page_header", "page_footer"))
+    rows = once(rows.select("block_id", "document_id", F.col("page_number").cast("int").alias("page_number"), "body"), "block_id")
     learned = learn(text_blocks(blocks))
     headers, asked = confirmed_keys(materialize(scan(text_blocks(blocks), learned, words=False)))
     lines = asked.join(headers, ["document_id", "key"], "left_semi").groupBy("block_id").agg(F.collect_set("key").alias("drop"))  # keys of one block
@@ -582,8 +583,8 @@ def repaired(blocks: DataFrame) -> DataFrame:
             part = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(texts, pa.string())], names=["block_id", "document_id", "page_number", "passage"])
 
-    joined = join_checked(rows, lines, ["block_id"], "left", 128).select("block_id", "document_id", F.col("page_number").cast("int"), "body", "drop")
-    return joined.mapInArrow(run, "block_id long, document_id string, page_number int, passage string").dropDuplicates(["block_id", "passage"])
+    joined = join_checked(rows, lines, ["block_id"], "left", 128).select("block_id", "document_id", "page_number", "body", "drop")
+    return joined.mapInArrow(run, "block_id long, document_id string, page_number int, passage string")
 
 
 def repair(model: Model, text: str, drop: set[str]) -> str:
