@@ -229,6 +229,7 @@ class Model:
         self.counts: dict[str, float] = {}
         self.known: set[str] = set()
         self.odd: dict[str, list[tuple[str, float, tuple[int, ...]]]] = {}
+        self.plain: dict[str, str] = {}
 
     def count(self, key: str) -> float:
         n = self.counts.get(key)
@@ -245,6 +246,15 @@ class Model:
             self.counts[key] = n
         return n
 
+    def bare(self, token: str) -> str:
+        """The word in a token as printed; words are parted by spaces if it holds several."""
+        b = self.plain.get(token)
+        if b is None:
+            if len(self.plain) > MEMO:
+                self.plain.clear()
+            b = self.plain[token] = " ".join(words_of(token))
+        return b
+
     def word(self, w: str) -> float:
         """Corpus count of a word; a number never seen counts as one of its length."""
         n = self.count("w" + w)
@@ -615,7 +625,7 @@ def _run_on(model: Model, lines: list[str]) -> str:
             elif tokens[-1][-1:] in _MARK and parts[0][:1].isalnum() and tokens[-1][:-1][-1:].isalnum():
                 tokens[-1] += parts.pop(0)
         tokens += parts
-    bare = [" ".join(words_of(t)) for t in tokens]
+    bare = list(map(model.bare, tokens))
     if [w for w in bare if w and " " not in w and w not in model.known and model.suspicious(w)]:
         judged = [i for i, w in enumerate(bare) if w and " " not in w]
         for i, true in zip(judged, model.decode([bare[i] for i in judged]), strict=True):
