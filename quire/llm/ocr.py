@@ -605,7 +605,7 @@ def repair(model: Model, text: str, drop: set[str]) -> str:
     for k, line in enumerate(lines):
         if not line.strip():
             paragraphs.append([])
-        elif (is_page_number(line) and not reader.runs_on(lines, k)) or (looks_like_header(line) and drop.intersection(header_keys(line))):
+        elif (is_page_number(line) and not reader.runs_on(lines, k)) or (drop and looks_like_header(line) and drop.intersection(header_keys(line))):
             if single:
                 return ""
         else:
@@ -626,7 +626,8 @@ def _run_on(model: Model, lines: list[str]) -> str:
                 tokens[-1] += parts.pop(0)
         tokens += parts
     bare = list(map(model.bare, tokens))
-    if [w for w in bare if w and " " not in w and w not in model.known and model.suspicious(w)]:
+    known = model.known
+    if any(w not in known and w and " " not in w and model.suspicious(w) for w in bare):
         judged = [i for i, w in enumerate(bare) if w and " " not in w]
         for i, true in zip(judged, model.decode([bare[i] for i in judged]), strict=True):
             if true != bare[i]:
