@@ -627,7 +627,7 @@ def _run_on(model: Model, lines: list[str]) -> str:
         tokens += parts
     bare = list(map(model.bare, tokens))
     known = model.known
-    if any(w not in known and w and " " not in w and model.suspicious(w) for w in bare):
+    if [w for w in bare if w not in known and w and " " not in w and model.suspicious(w)]:  # judges every word
         judged = [i for i, w in enumerate(bare) if w and " " not in w]
         for i, true in zip(judged, model.decode([bare[i] for i in judged]), strict=True):
             if true != bare[i]:
