@@ -9,6 +9,7 @@ sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH", "")]))
 
 DATA = "/root/testdata/sf0.001"
+LARGER_DATA = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
@@ -31,11 +32,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def duck():
+def duck_of(folder: str):
     import duckdb
 
     con = duckdb.connect()
-    for path in sorted(Path(DATA).glob("*.parquet")):
+    for path in sorted(Path(folder).glob("*.parquet")):
         con.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return con
+
+
+@pytest.fixture(scope="session")
+def duck():
+    return duck_of(DATA)

@@ -4,16 +4,23 @@ import pytest
 
 from quire.plans.queries import oracle_sql, queries
 from tests.compare import assert_same
-from tests.conftest import DATA
+from tests.conftest import DATA, LARGER_DATA, duck_of
 
 SQL = oracle_sql()
+#: A few documents per release are too few to tell renamed fields.
+LARGER = {"p4_elements"}
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(set(SQL) - LARGER))
 def test_equals_sql(spark, duck, name):
     assert_same(queries()[name](spark, DATA), duck.sql(SQL[name]))
 
 
+@pytest.mark.parametrize("name", sorted(LARGER))
+def test_equals_sql_on_more_data(spark, name):
+    assert_same(queries()[name](spark, LARGER_DATA), duck_of(LARGER_DATA).sql(SQL[name]))
+
+
 @pytest.mark.parametrize("name", sorted(set(queries()) - set(SQL)))
 def test_runs(spark, name):
     assert queries()[name](spark, DATA).count() >= 0
