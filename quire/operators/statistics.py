@@ -41,12 +41,17 @@ def content_counts(blocks: DataFrame) -> DataFrame:
     )
 
 
-def missing_pages(blocks: DataFrame) -> DataFrame:
-    """document_id, page_number: pages between the first and the last that hold no block."""
+def missing_ranges(blocks: DataFrame) -> DataFrame:
+    """document_id, first_page, last_page: the gaps between pages that hold blocks; one row per gap, however wide a wild page number makes it."""
     pages = blocks.filter("page_number > 0").select("document_id", "page_number").distinct()
-    span = pages.groupBy("document_id").agg(F.min("page_number").alias("a"), F.max("page_number").alias("b"))
-    every = span.select("document_id", F.explode(F.sequence("a", "b")).alias("page_number"))
-    return every.join(pages, ["document_id", "page_number"], "left_anti")
+    following = F.lead("page_number").over(Window.partitionBy("document_id").orderBy("page_number"))
+    gaps = pages.select("document_id", (F.col("page_number") + 1).alias("first_page"), (following - 1).alias("last_page"))
+    return gaps.filter("last_page >= first_page")
+
+
+def missing_pages(blocks: DataFrame) -> DataFrame:
+    """document_id, page_number: pages between the first and the last that hold no block, one by one; where page numbers can't be trusted take missing_ranges()."""
+    return missing_ranges(blocks).select("document_id", F.explode(F.sequence("first_page", "last_page")).alias("page_number"))
 
 
 def token_stats(chunks: DataFrame) -> DataFrame:

@@ -274,6 +274,14 @@ def a05_gaps(spark, sf_dir):
     return statistics.missing_pages(read_table(spark, sf_dir, "raw_blocks"))
 
 
+@query(
+    "a05_ranges",
+    "WITH p AS (SELECT DISTINCT document_id, page_number FROM raw_blocks WHERE page_number > 0) SELECT a.document_id, a.page_number + 1 AS first_page, (min(b.page_number) - 1)::INTEGER AS last_page FROM p a JOIN p b ON a.document_id IS NOT DISTINCT FROM b.document_id AND b.page_number > a.page_number GROUP BY a.document_id, a.page_number HAVING min(b.page_number) > a.page_number + 1",
+)
+def a05_ranges(spark, sf_dir):
+    return statistics.missing_ranges(read_table(spark, sf_dir, "raw_blocks"))
+
+
 TOKEN_STATS = "count(*) AS n, min(token_count) AS least, max(token_count) AS most, round(avg(token_count), 6) AS mean, sum(token_count)::BIGINT AS total, median(token_count) AS median, count(*) FILTER (WHERE token_count > 2000) AS over_limit"
 
 
