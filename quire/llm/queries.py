@@ -68,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_exact_shares": mixing.document_exact_shares,
         "p9_found": language.documents_found,
         "p9_segments": language.document_segments,
+        "p9_parts": lambda spark, sf_dir: language.document_segments(spark, sf_dir).select("doc_id", "segment_no"),
     }
 
 
@@ -107,6 +108,10 @@ CHUNKS = f"SELECT DISTINCT id, content, {_tokens('content')} AS n_tokens FROM pa
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p9_parts": f"""WITH a AS (SELECT doc_id, regexp_split_to_array(text, '\\r?\\n') AS a FROM documents WHERE text IS NOT NULL), l AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS i FROM a),
+            g AS (SELECT *, count(*) FILTER (WHERE NOT regexp_matches(line, '[^{SQL_WS}]')) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM l),
+            p AS (SELECT doc_id, run, bool_or(regexp_matches(line, '\\p{{L}}')) AS letters FROM g WHERE regexp_matches(line, '[^{SQL_WS}]') GROUP BY doc_id, run),
+            n AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run) AS segment_no, letters FROM p) SELECT doc_id, segment_no FROM n WHERE letters UNION ALL SELECT doc_id, 0 FROM a""",
         "p7_found": f"WITH {WINDOWS} SELECT DISTINCT doc_id, item_id FROM hits",
         "p7_spans": f"""WITH {WINDOWS}, steps AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM (SELECT DISTINCT doc_id, i FROM hits)),
             spans AS (SELECT doc_id, count(*) FILTER (WHERE before IS NULL OR i - before > 12) AS n FROM steps GROUP BY doc_id) SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n_spans FROM documents d LEFT JOIN spans s USING (doc_id)""",
